@@ -20,6 +20,16 @@ _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+def fold_case(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z and the two-byte capitals U+00C0 to U+00DE lower-cased."""
+    out = LOWER[data]
+    if len(data) > 1:
+        tail = data[1:]
+        capital = (data[:-1] == 0xC3) & (tail >= 0x80) & (tail <= 0x9E) & (tail != 0x97)
+        out[1:][capital] += 0x20
+    return out
+
+
 #: ``[^\x20\x09-\x0D]+``
 SPACED = np.ones(256, bool)
 SPACED[[0x20, *range(0x09, 0x0E)]] = False

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, langid, mixing
+from ledgerspark.llm import chat, langid, licenses, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +51,20 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op4_mixing": op4_mixing, "op5_langid": op5_langid}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    config = toxicity.ToxicityConfig()
+    texts, toxic = toxicity.sample_labelled(docs, table(spark, sf_dir, "labels"), ~held_out(), config)
+    scored = toxicity.score(docs, toxicity.fit(texts, toxic, config))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text", "matches")
+
+
+QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op7_toxicity": op7_toxicity, "op9_licenses": op9_licenses}
 
 _ESC = r"(<|\[)(\\*)(\|turn\|>|\|text\|>|\|more\|>|/s>|s>|INST\]|/INST\]|<SYS>>|</SYS>>)"
 
