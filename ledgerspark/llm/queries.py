@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, langid, licenses, mixing, toxicity
+from ledgerspark.llm import chat, langid, licenses, mixing, shinglejoin, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shinglejoin.similar_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -64,7 +68,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "matches")
 
 
-QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op7_toxicity": op7_toxicity, "op9_licenses": op9_licenses}
+QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op3_jaccard": op3_jaccard, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op7_toxicity": op7_toxicity, "op9_licenses": op9_licenses}
 
 _ESC = r"(<|\[)(\\*)(\|turn\|>|\|text\|>|\|more\|>|/s>|s>|INST\]|/INST\]|<SYS>>|</SYS>>)"
 
