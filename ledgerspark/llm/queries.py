@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, langid, licenses, mixing, shinglejoin, toxicity
+from ledgerspark.llm import chat, fingerprints, langid, licenses, media, mixing, shinglejoin, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shinglejoin.similar_texts(table(spark, sf_dir, "documents"))
 
@@ -63,12 +67,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"), tensors=False).drop("text")
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.drop("text", "matches")
 
 
-QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op3_jaccard": op3_jaccard, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op7_toxicity": op7_toxicity, "op9_licenses": op9_licenses}
+QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op2_fingerprints": op2_fingerprints, "op3_jaccard": op3_jaccard, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op7_toxicity": op7_toxicity, "op8_media": op8_media, "op9_licenses": op9_licenses}
 
 _ESC = r"(<|\[)(\\*)(\|turn\|>|\|text\|>|\|more\|>|/s>|s>|INST\]|/INST\]|<SYS>>|</SYS>>)"
 
