@@ -15,12 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: 2 * SAMPLES + 4 columns must stay within the 100 that whole-stage code generation allows.
 SAMPLES = 48
+#: Samples taken per row and pass: few enough that generated methods stay small and are compiled.
+TOGETHER = 4
 ROWS_PER_RANGE = 512
 #: Bounds the broadcast of one row per range.
 MOST_RANGES = 1 << 17
 ROWS_PER_PARTITION = 1024
+#: The sample of a word without weight: greater than any other.
+NONE = (1 << 63) - 1
 _MARK_BITS = 35
 _MARK = (1 << _MARK_BITS) - 1
 
@@ -30,18 +33,22 @@ def _uniform(h: Column, part: int) -> Column:
     return (F.shiftright(h, 21 * part).bitwiseAND(F.lit((1 << 21) - 1)) + F.lit(0.5)) / F.lit(float(1 << 21))
 
 
-def _samples(term: Column, weights: list[Column], k: int) -> list[Column]:
-    """For each weight of a word a long: ln a in the high bits, the mark of (word, t) in the low ones; null without weight."""
-    h, g = F.xxhash64(term, F.lit(k)), F.xxhash64(term, F.lit(-1 - k))
+def _samples(term: Column, weights: list[Column], k: Column) -> list[Column]:
+    """For each weight of a word a long: ln a in the high bits, the mark of (word, t) in the low ones; NONE without weight.
+
+    No branch guards the arithmetic, so that generated code shares r, c and b between the weights.
+    """
+    h, g = F.xxhash64(term, k), F.xxhash64(term, -1 - k)
     r = -F.ln(_uniform(h, 0) * _uniform(h, 1))
     ln_c = F.ln(-F.ln(_uniform(g, 0) * _uniform(g, 1)))
     b = _uniform(h, 2)
     out = []
     for w in weights:
-        t = F.floor(F.ln(w.cast("double")) / r + b)
+        t = F.floor(F.ln(F.greatest(w, F.lit(1)).cast("double")) / r + b)
         ln_a = ln_c - r * (t - b) - r
         mark = term.bitwiseXOR(t * F.lit(0x9E3779B1)).bitwiseAND(F.lit(_MARK))
-        out.append(F.when(w > 0, F.shiftleft(F.floor(ln_a * F.lit(float(1 << 20))), _MARK_BITS).bitwiseOR(mark)))
+        sample = F.shiftleft(F.floor(ln_a * F.lit(float(1 << 20))), _MARK_BITS).bitwiseOR(mark)
+        out.append(F.greatest(sample, F.when(w > 0, F.lit(-NONE)).otherwise(F.lit(NONE))))
     return out
 
 
@@ -56,11 +63,13 @@ def fingerprint(texts: DataFrame, keys: list[str], text_cols: list[str], samples
     counts = hashed.groupBy(*keys, "term").agg(*[F.sum(F.when(F.col("which") == i, 1).otherwise(0)).alias(f"w{i}") for i in range(len(text_cols))])
     known = [F.when(F.col("term").isNull(), 0).otherwise(F.col(f"w{i}")) for i in range(len(text_cols))]
     counted = counts.select(*keys, "term", *[w.alias(f"w{i}") for i, w in enumerate(known)])
-    drawn = [x for k in range(samples) for x in _samples(F.col("term"), [F.col(f"w{i}") for i in range(len(text_cols))], k)]
     n = len(text_cols)
-    least = counted.groupBy(*keys).agg(*[F.min(x).alias(f"s{j}") for j, x in enumerate(drawn)])
-    marks = [F.array(*[F.col(f"s{k * n + i}").bitwiseAND(F.lit(_MARK)) for k in range(samples)]).alias(f"fp{i}") for i in range(n)]
-    return least.select(*keys, *marks)
+    split = counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples // TOGETHER - 1))).alias("part"))
+    drawn = [x for k in range(TOGETHER) for x in _samples(F.col("term"), [F.col(f"w{i}") for i in range(n)], F.col("part") * TOGETHER + k)]
+    least = split.groupBy(*keys, "part").agg(*[F.min(x).alias(f"s{j}") for j, x in enumerate(drawn)])
+    marks = [F.array(*[F.when(F.col(f"s{k * n + i}") < NONE, F.col(f"s{k * n + i}").bitwiseAND(F.lit(_MARK))) for k in range(TOGETHER)]).alias(f"fp{i}") for i in range(n)]
+    parts = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("part", *marks))).alias("parts"))
+    return parts.select(*keys, *[F.flatten(F.col(f"parts.fp{i}")).alias(f"fp{i}") for i in range(n)])
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
