@@ -1,8 +1,65 @@
-"""Placeholder until its stages exist."""
+"""A corpus pipeline of five operators, each stage working on all that the one before it kept.
 
-STAGES: list = []
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerspark.llm import langid, mixing, packing, secrets, shinglejoin
+from ledgerspark.llm.queries import held_out
+from ledgerspark.session import shared_dir
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with confidence stay; those rejected, and texts without a letter, go."""
+    config = langid.LangidConfig()
+    texts, langs = langid.sample_labelled(docs, ~held_out(), config)
+    found = langid.predict(docs, langid.fit(texts, langs, config))
+    return found.filter("accepted").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked texts the document with the smallest id stays, once. Rows without an id all stay."""
+    found = shinglejoin.similar_texts(docs)
+    first = found.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets found in its text are replaced by a mark."""
+    found = secrets.scan_secrets(docs, secrets.fit())
+    changed = found.withColumn("text", F.col("redacted")).withColumn("n_chars", F.when(F.col("n_findings") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+    return changed.select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix of sources takes, each as often as it takes it."""
+    return mixing.take_mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan), ("mix", mix), ("pack", pack)]
+
+#: Learned and hashed stages are beyond SQL; tests/llm hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -51,14 +51,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most:
     return level.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken``, one row per input row.
-
-    ``copies`` is how often the mix takes the document, ``taken = copies * size``. A null text has size 0, a
-    null source is a source of its own, a null id hashes like an empty one. Rows with equal ids are taken
-    alike. A source without words has target 0 and takes nothing. Other columns are ignored; an empty table
-    gives an empty one. A source's taken words miss its target by half of one document (all rows of one id) at most.
-    """
+def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """The sizes ``doc_id, source, size, h`` of all rows, and ``s, source_size, target, whole, threshold`` per source."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h"))
     sized = materialize(narrow, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -69,12 +63,32 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: flo
     edge = materialize(edge, "mix-plan")
     for level in range(LEVELS):
         edge = materialize(_refine(sized, edge, level), f"mix-level{level}")
-    chosen = edge.select(F.col("source").alias("s"), "source_size", "target", "whole", (F.col("prefix") + F.col("over").cast("long")).alias("threshold"))
-    joined = sized.join(chosen, F.col("source").eqNullSafe(F.col("s")), "left")
+    return sized, edge.select(F.col("source").alias("s"), "source_size", "target", "whole", (F.col("prefix") + F.col("over").cast("long")).alias("threshold"))
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken``, one row per input row.
+
+    ``copies`` is how often the mix takes the document, ``taken = copies * size``. A null text has size 0, a
+    null source is a source of its own, a null id hashes like an empty one. Rows with equal ids are taken
+    alike. A source without words has target 0 and takes nothing. Other columns are ignored; an empty table
+    gives an empty one. A source's taken words miss its target by half of one document (all rows of one id) at most.
+    """
+    sized, plan = mix_plan(docs, weights, most, id_col, text_col, source_col)
+    joined = sized.join(plan, F.col("source").eqNullSafe(F.col("s")), "left")
     copies = F.col("whole") + (F.col("h") < F.col("threshold")).cast("long")
     return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def take_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes it. Only the plan meets the texts."""
+    _, plan = mix_plan(docs, weights, most, id_col, text_col, source_col)
+    plan = plan.select(F.struct("s", "whole", "threshold").alias("__plan"))
+    copies = F.col("__plan.whole") + (id_hash(F.col(id_col)) < F.col("__plan.threshold")).cast("long")
+    joined = docs.join(plan, F.col(source_col).eqNullSafe(F.col("__plan.s"))).withColumn("__copies", copies.cast("int")).filter("__copies > 0")
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+
+
 def _refine(sized: DataFrame, edge: DataFrame, level: int) -> DataFrame:
     """The next BITS bits of each source's threshold, from the documents of its boundary bucket alone."""
     shift = BITS * (LEVELS - 1 - level)

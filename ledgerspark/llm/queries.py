@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, fingerprints, langid, licenses, media, mixing, shinglejoin, toxicity
+from ledgerspark.llm import chat, fingerprints, langid, licenses, media, mixing, packing, secrets, shinglejoin, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,10 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     config = toxicity.ToxicityConfig()
@@ -76,7 +80,13 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "matches")
 
 
-QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op2_fingerprints": op2_fingerprints, "op3_jaccard": op3_jaccard, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op7_toxicity": op7_toxicity, "op8_media": op8_media, "op9_licenses": op9_licenses}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), secrets.fit())
+    redacted = F.sha2(F.coalesce("redacted", F.lit("")).cast("binary"), 256).alias("redacted_sha256")
+    return found.select("doc_id", "n_candidates", "n_findings", "best", "findings_sha256", redacted)
+
+
+QUERIES: dict[str, Query] = {"op1_chat": op1_chat, "op2_fingerprints": op2_fingerprints, "op3_jaccard": op3_jaccard, "op4_mixing": op4_mixing, "op5_langid": op5_langid, "op6_packing": op6_packing, "op7_toxicity": op7_toxicity, "op8_media": op8_media, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
 
 _ESC = r"(<|\[)(\\*)(\|turn\|>|\|text\|>|\|more\|>|/s>|s>|INST\]|/INST\]|<SYS>>|</SYS>>)"
 
