@@ -1,4 +1,6 @@
 """Driver bindings: one function and one DuckDB statement per query."""
 
-ORACLES: dict = {}
-QUERIES: dict = {}
+from ledgerspark.queries import asof, rows, screens, tables, values, windows  # noqa: F401
+from ledgerspark.queries.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
