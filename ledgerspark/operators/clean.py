@@ -95,24 +95,23 @@ def first_available(df: DataFrame, keys: Sequence[str], priority: str) -> DataFr
 
 
 def implausible_neighbours(df: DataFrame, keys: Sequence[str], order: str, value: str, factor: float = 500.0, rounds: int = 15) -> DataFrame:
-    """``df`` with ``suspect``: values a factor away from the nearest trusted neighbours, both where both exist.
+    """``df`` with ``suspect``: values a factor away from the nearest trusted value before them, or else after them.
 
-    A suspect is no neighbour in the next round. Rounds end when nothing changes or at the bound; the count of suspects
-    of each round is all that reaches the driver.
+    A suspect is trusted by nobody in the next round, in which all are judged anew. Where rounds end unsettled, only what
+    was suspect twice in a row stays so. A count and a checksum per round are all that reaches the driver.
     """
     from ledgerspark.operators.windows import nearest
     from ledgerspark.session import materialize
 
-    state, before = df.withColumn("suspect", F.lit(False)), -1
+    state, seen = df.withColumn("suspect", F.lit(False)).withColumn("__was", F.lit(False)), None
     for _ in range(rounds):
-        trusted = F.when(~F.col("suspect") & (F.col(value) > 0), F.col(value))
-        earlier, later = nearest(trusted, keys, order)
-        far = lambda c: (F.col(value) / F.col(c) >= factor) | (F.col(value) / F.col(c) <= 1 / factor)
-        flagged = (F.col("__a").isNotNull() | F.col("__b").isNotNull()) & F.coalesce(far("__a"), F.lit(True)) & F.coalesce(far("__b"), F.lit(True))
-        state = state.withColumn("__a", earlier).withColumn("__b", later).withColumn("suspect", F.coalesce((F.col(value) > 0) & flagged, F.lit(False))).drop("__a", "__b")
+        earlier, later = nearest(F.when(~F.col("suspect"), F.col(value)), keys, order)
+        near = state.withColumn("__near", F.coalesce(earlier, later)).withColumn("__was", F.col("suspect"))
+        ratio = F.when((F.col("__near") != 0) & (F.col(value) != 0), F.col(value) / F.col("__near"))
+        state = near.withColumn("suspect", F.coalesce((ratio >= factor) | (ratio <= 1 / factor), F.lit(False))).drop("__near")
         state = materialize(state, "plausibility")
         now = state.filter("suspect").agg(F.count(F.lit(1)), F.coalesce(F.expr(f"bit_xor(xxhash64({', '.join([*keys, order])}))"), F.lit(0))).first()
-        if now == before:
+        if now == seen:
             break
-        before = now
-    return state
+        seen = now
+    return state.withColumn("suspect", F.col("suspect") & F.col("__was")).drop("__was")
