@@ -2,16 +2,17 @@
 
 Texts with equal shingle sets are one node from the start. Any pair that meets the threshold shares one of
 the first shingles of both in a global order (common shingles last, else by hash); these postings are dealt
-out in tiles by shingle and size band. Two passes verify pairs exactly, on sorted arrays of shingle hashes:
+out in tiles by shingle.
 
-1. Nodes that share one of their smallest hashes meet in a group and are compared with its leaders. That links
-   most copies to each other, in one comparison each, and leaves nothing to later filters.
-2. In the tiles, pairs not yet in one component are filtered by size, by position and by the bit counts of their
-   hashed parity bitmaps (each differing bit is a shingle that only one side has, which bounds the overlap from above),
-   and the rest is intersected.
+* A small tile gives its pairs that pass the size and position filters, a bounded number per posting.
+* A large tile is split by size bands, and only tells which of its nodes hang together by pairs whose bit counts
+  do not rule them out: hashed parity bitmaps differ in a bit only if one side has a shingle that the other lacks, which
+  bounds the overlap from above. What hangs together is a cluster, mostly a group of near copies. It is searched
+  breadth-first: a node's links leave the list of those to compare, so a close group of m costs about m comparisons,
+  not m * m. Clusters over a bounded number of shingles are cut into blocks, and each pair of blocks is searched.
 
-The second pass alone is complete; the first keeps large groups of copies from making all their pairs.
-Shingles and nodes are named by 64-bit hashes.
+Both end in the exact intersection of sorted arrays of shingle hashes; only a spanning forest of links is put out
+for large tiles. Shingles and nodes are named by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -41,9 +42,8 @@ class JoinConfig:
     order_rows: int = 8192
     common_from: int = 4
     most_common: int = 200_000
-    keys: int = 4
-    salt_rows: int = 1024
-    leaders: int = 16
+    small_tile: int = 48
+    block_items: int = 2_000_000
 
     def needed(self, n: np.ndarray | int) -> np.ndarray | int:
         """Least overlap of a set of n with a set that is not smaller, or with any set it links with."""
@@ -84,6 +84,11 @@ def shingle_sets(chunk: Chunk, width: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def name(items: np.ndarray) -> int | None:
+    """A 64-bit name of a set; none for the empty one."""
+    return int.from_bytes(hashlib.blake2b(items.tobytes(), digest_size=8).digest(), "little", signed=True) if len(items) else None
+
+
 def bitmap(items: np.ndarray) -> bytes:
     """Parity bitmap: bit h mod 2**k of each hash flipped, with about one bit per item, 64 to 8192 bits."""
     k = min(13, max(6, int(len(items)).bit_length()))
@@ -127,11 +132,11 @@ def common_shingles(docs: DataFrame, config: JoinConfig) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, common: np.ndarray, config: JoinConfig) -> DataFrame:
-    """``id, n, node, keys, bits, head``: of each row its set's size, name, smallest hashes, bitmap and prefix."""
+    """``id, n, node, bits, head``: of each row its set's size, name, bitmap and prefix."""
     order = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
     longs = T.ArrayType(T.LongType())
-    fields = [T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("keys", longs), T.StructField("bits", T.BinaryType()), T.StructField("head", longs)]
+    fields = [T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("head", longs)]
 
     def compute(batch: pa.RecordBatch) -> list:
         known, rank = shared.value
@@ -140,7 +145,7 @@ def _sets(docs: DataFrame, common: np.ndarray, config: JoinConfig) -> DataFrame:
             for items in shingle_sets(chunk, config.words):
                 n = len(items)
                 if not n:
-                    for column, x in zip(out, (0, None, [], b"", []), strict=True):
+                    for column, x in zip(out, (0, None, b"", []), strict=True):
                         column.append(x)
                     continue
                 length = n - int(config.needed(n)) + 1
@@ -154,8 +159,7 @@ def _sets(docs: DataFrame, common: np.ndarray, config: JoinConfig) -> DataFrame:
                         head = np.concatenate([head, late[: length - len(head)]])
                 else:
                     head = items[:length]
-                node = int.from_bytes(hashlib.blake2b(items.tobytes(), digest_size=8).digest(), "little", signed=True)
-                for column, x in zip(out, (n, node, items[: config.keys].view(np.int64), bitmap(items), head.view(np.int64)), strict=True):
+                for column, x in zip(out, (n, name(items), bitmap(items), head.view(np.int64)), strict=True):
                     column.append(x)
         return out
 
@@ -167,130 +171,199 @@ def _with_items(docs: DataFrame, wanted: DataFrame, config: JoinConfig) -> DataF
     joined = docs.withColumnRenamed("id", "rep").join(wanted, "rep")
 
     def compute(batch: pa.RecordBatch) -> list:
-        return [[items.tobytes() for chunk in chunks(pick(batch, "text")) for items in shingle_sets(chunk, config.words)]]
-
-    return append(joined, [T.StructField("items", T.BinaryType())], compute).drop("text")
+        sets = [items for chunk in chunks(pick(batch, "text")) for items in shingle_sets(chunk, config.words)]
+        return [[x.tobytes() for x in sets], [name(x) for x in sets]]
 
+    fields = [T.StructField("items", T.BinaryType()), T.StructField("own", T.LongType())]
+    return append(joined, fields, compute).filter("node = own").drop("text", "own")
 
-def _lead(groups: DataFrame, config: JoinConfig) -> DataFrame:
-    """``key, node, leader, n, items``: each node of a (key, salt) group with the leader it is linked to, or itself.
-
-    Rows stream in order of their group and size; only a group's last leaders are in memory. ``items`` is null for
-    nodes that found a leader.
-    """
-    dealt = groups.repartition("key", "salt").sortWithinPartitions("key", "salt", "n", "node")
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "node", "leader", "n")] + [T.StructField("items", T.BinaryType())])
-    names = [f.name for f in schema.fields]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, leaders = None, []
-        for batch in batches:
-            out: list[list] = [[] for _ in names]
-            columns = [pick(batch, c).to_pylist() for c in ("key", "salt", "n", "node", "items")]
-            for key, salt, n, node, items in zip(*columns, strict=True):
-                if (key, salt) != group:
-                    group, leaders = (key, salt), []
-                own = np.frombuffer(items, np.uint64)
-                found = None
-                for other, array in reversed(leaders):
-                    if min(n, len(array)) >= config.needed(max(n, len(array))) and config.linked(overlap(own, array), n + len(array)):
-                        found = other
-                        break
-                if found is None:
-                    leaders = [*leaders[-config.leaders + 1 :], (node, own)]
-                for column, x in zip(out, (key, node, node if found is None else found, n, items if found is None else None), strict=True):
-                    column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == "items" else pa.int64()) for k, c in zip(names, out, strict=True)], names)
-
-    return dealt.mapInArrow(run, schema)
-
-
-def _first_links(docs: DataFrame, nodes: DataFrame, config: JoinConfig) -> DataFrame:
-    """``a, b``: true links between nodes that share one of their smallest hashes, a few for each node."""
-    keys = nodes.select("node", "rep", "n", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    best = keys.join(shared, "key").groupBy("node", "rep", "n").agg(F.max(F.struct("df", "key")).alias("k"))
-    salt = F.pmod("node", F.ceil(F.col("k.df") / config.salt_rows).cast("long"))
-    wanted = materialize(best.select("node", "rep", "n", F.col("k.key").alias("key"), salt.alias("salt"), (F.col("k.df") > config.salt_rows).alias("hot")), "join-keys")
-    groups = _with_items(docs, wanted, config)
-    first = materialize(_lead(groups.select("key", "salt", "n", "node", "items"), config), "join-leaders")
-    hot = wanted.filter("hot").select("key").distinct()
-    again = first.filter("items IS NOT NULL").join(hot, "key", "left_semi").select("key", F.lit(0).cast("long").alias("salt"), "n", "node", "items")
-    second = _lead(again, config)
-    return first.select(F.col("node").alias("a"), F.col("leader").alias("b")).unionByName(second.select(F.col("node").alias("a"), F.col("leader").alias("b"))).filter("a <> b")
-
-
-def tile_pairs(token: np.ndarray, n: np.ndarray, place: np.ndarray, node: np.ndarray, comp: np.ndarray, config: JoinConfig) -> np.ndarray:
-    """Candidate pairs (2 columns, smaller node first) of postings sorted by tile and size; ``token`` numbers the tiles."""
-    edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
-    if not len(edge):
-        return np.zeros((0, 2), np.int64)
-    mixed = np.minimum.reduceat(comp, edge) != np.maximum.reduceat(comp, edge)
-    at = np.flatnonzero(np.repeat(mixed, np.diff(np.append(edge, len(token)))))
-    token, n, place, node, comp = token[at], n[at], place[at], node[at], comp[at]
-    found, d, i = [], 1, np.arange(len(token) - 1)
+def tile_pairs(tile: np.ndarray, n: np.ndarray, place: np.ndarray, node: np.ndarray, config: JoinConfig) -> np.ndarray:
+    """Candidate pairs (2 columns, smaller node first) of postings sorted by tile and size; ``tile`` numbers the tiles."""
+    found, d, i = [], 1, np.arange(max(0, len(tile) - 1))
     while len(i):
         j = i + d
-        alive = token[i] == token[j]
+        alive = tile[i] == tile[j]
         alive &= n[i] >= config.needed(n[j])  # sorted by size: once too small, too small for all further ones
         i, j = i[alive], j[alive]
-        ok = (comp[i] != comp[j]) & (place[i] <= n[i] - config.needed_as_smaller(n[i]))
-        ok &= np.minimum(n[i] - place[i], n[j] - place[j]) >= config.needed_by(n[i] + n[j])
+        ok = _possible(n[i], place[i], n[j], place[j], config)
         found.append(np.sort(np.stack([node[i[ok]], node[j[ok]]], 1), 1))
         d += 1
-        i = i[i + d < len(token)]
+        i = i[i + d < len(tile)]
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
-def _candidates(nodes: DataFrame, config: JoinConfig) -> DataFrame:
-    """``a, b``: distinct pairs of nodes of different components that pass the size and position filters."""
-    band = F.floor(F.log2("n")).cast("int")
-    lower = F.floor(F.log2(F.ceil(F.col("n") * config.percent / F.lit(100)))).cast("int")
-    posted = nodes.withColumn("bands", F.when(lower < band, F.array(band, lower)).otherwise(F.array(band))).select("node", "n", "comp", "bands", F.posexplode("head").alias("place", "token"))
-    posted = posted.select("token", F.explode("bands").alias("band"), F.col("n").cast("int").alias("n"), F.col("place").cast("int").alias("place"), "node", "comp")
-    dealt = posted.repartition("token", "band").sortWithinPartitions("token", "band", "n", "node")
-    names = ["token", "band", "n", "place", "node", "comp"]
+def _possible(n, place, n_more, place_more, config: JoinConfig):
+    """Whether a shingle at these places can be the first that a set and one that is not smaller share."""
+    ok = place <= n - config.needed_as_smaller(n)
+    return ok & (np.minimum(n - place, n_more - place_more) >= config.needed_by(n + n_more))
+
+
+def _sorted_tiles(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> Iterator[list[np.ndarray]]:
+    """Columns of whole runs of equal keys, from batches that are sorted by the key."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        c = [pick(batch, x).to_numpy(zero_copy_only=False) for x in (key, *names)]
+        if not len(c[0]):
+            continue
+        last = np.flatnonzero(c[0] != c[0][-1])
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if held and held[-1][0][-1] != c[0][0]:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held = []
+        if cut:
+            yield [np.concatenate(x) for x in zip(*held, [x[:cut] for x in c], strict=True)]
+            held = []
+        held.append([x[cut:] for x in c])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _tiles(nodes: DataFrame, config: JoinConfig) -> DataFrame:
+    """``a, b, tile, n, place``: candidate pairs of small tiles (tile null), postings of large ones (b null).
+
+    A large tile's postings go to the tile of their size band, and to the one below if a link may reach there.
+    """
+    posted = nodes.select("node", F.shiftleft("n", 32).alias("size"), F.posexplode("head").alias("place", "token"))
+    posted = posted.select("token", F.col("size").bitwiseOR(F.col("place")).alias("np"), "node")
+    dealt = posted.repartition("token").sortWithinPartitions("token", "np")
+    names = ["a", "b", "tile", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-
-        def pairs(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-            token, band, n, place, node, comp = (np.concatenate(x) for x in zip(*parts, strict=True))
-            tile = np.cumsum(np.concatenate([[0], (token[1:] != token[:-1]) | (band[1:] != band[:-1])]))
-            got = tile_pairs(tile, n.astype(np.int64), place.astype(np.int64), node, comp, config)
-            return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
-
-        for batch in batches:
-            c = [pick(batch, x).to_numpy(zero_copy_only=False) for x in names]
-            if not len(c[0]):
-                continue
-            last = np.flatnonzero((c[0] != c[0][-1]) | (c[1] != c[1][-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut or (held and (held[-1][0][-1], held[-1][1][-1]) != (c[0][0], c[1][0])):
-                yield pairs([*held, [x[:cut] for x in c]])
-                held = []
-            held.append([x[cut:] for x in c])
-        if held:
-            yield pairs(held)
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, config: JoinConfig) -> DataFrame:
-    """``a, b`` of the candidate pairs that pass the bit counts, then the exact intersection."""
-    sized = nodes.select("node", "n", "bits")
-    left = sized.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    right = sized.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    boolean = [T.StructField("ok", T.BooleanType())]
+        for token, packed, node in _sorted_tiles(batches, "token", ["np", "node"]):
+            n, place = packed >> 32, packed & 0xFFFFFFFF
+            edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            df = np.diff(np.append(edge, len(token)))
+            each = np.repeat(df, df)
+            small = np.flatnonzero((each > 1) & (each <= config.small_tile))
+            number = np.repeat(np.arange(len(df)), df)
+            pairs = tile_pairs(number[small], n[small], place[small], node[small], config)
+            if len(pairs):
+                none = pa.nulls(len(pairs), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none], names)
+            large = np.flatnonzero(each > config.small_tile)
+            if len(large):
+                size = n[large]
+                band = np.frexp(size.astype(float))[1]
+                lower = np.frexp(config.needed(size).astype(float))[1]
+                two = np.flatnonzero(lower < band)
+                at = np.concatenate([large, large[two]])
+                tile = mix(token[at].view(np.uint64) ^ np.concatenate([band, lower[two]]).astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(tile), pa.array(n[at]), pa.array(place[at])], names)
+
+    return dealt.mapInArrow(run, "a long, b long, tile long, n long, place long")
+
+
+def search(count: int, linked) -> list[tuple[int, int]]:
+    """A spanning forest of the graph on 0 to count - 1; ``linked(x, others)`` tells which others x is linked to."""
+    left, edges = np.arange(count), []
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            hit = linked(x, left)
+            queue += left[hit].tolist()
+            edges += [(x, int(y)) for y in left[hit]]
+            left = left[~hit]
+    return edges
+
+
+def _possible_links(tiles: DataFrame, nodes: DataFrame, config: JoinConfig) -> DataFrame:
+    """``a, b``: a forest of pairs of large tiles that size, position and bit counts do not rule out."""
+    large = tiles.filter("tile IS NOT NULL").select("tile", F.col("a").alias("node"), "n", "place")
+    dealt = large.join(nodes.select("node", "bits"), "node").repartition("tile").sortWithinPartitions("tile", "n", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, n, place, node, bits in _sorted_tiles(batches, "tile", ["n", "place", "node", "bits"]):
+            a, b = [], []
+            edge = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                size, at = n[lo:hi], place[lo:hi]
+                width = max(1, min(map(len, bits[lo:hi])) // 8)
+                maps = np.stack([_folded(x, width) for x in bits[lo:hi]])
+
+                def linked(x: int, others: np.ndarray, size=size, at=at, maps=maps) -> np.ndarray:
+                    m = size[others]
+                    less, more = np.minimum(size[x], m), np.maximum(size[x], m)
+                    low = np.where(m < size[x], at[others], at[x])
+                    high = np.where(m < size[x], at[x], at[others])
+                    ok = (less >= config.needed(more)) & _possible(less, low, more, high, config)
+                    differ = np.bitwise_count(maps[others] ^ maps[x]).sum(1)
+                    return ok & ((size[x] + m - differ) // 2 >= config.needed_by(size[x] + m))
+
+                for x, y in search(hi - lo, linked):
+                    a.append(node[lo + x])
+                    b.append(node[lo + y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    """A bitmap as ``width`` words of 64 bits, folded by xor."""
+    x = np.frombuffer(bits, np.uint64)
+    while len(x) > width:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def _cluster_links(clusters: DataFrame, items: DataFrame, config: JoinConfig) -> DataFrame:
+    """``a, b``: a forest of the true links within each cluster (``node, n, root``), searched by pairs of blocks."""
+    total = clusters.groupBy("root").agg(F.sum("n").alias("total"))
+    blocks = clusters.join(total, "root").withColumn("blocks", F.ceil(F.col("total") / config.block_items).cast("long"))
+    own = F.pmod("node", F.col("blocks"))
+    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
+    dealt = blocks.withColumn("t", F.explode(others)).select("node", "root", F.xxhash64("root", "t.i", "t.j").alias("tile"))
+    dealt = dealt.join(items, "node").repartition("tile").sortWithinPartitions("tile", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, node, raw in _sorted_tiles(batches, "tile", ["node", "items"]):
+            a, b = [], []
+            edge = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                sets = [np.frombuffer(x, np.uint64) for x in raw[lo:hi]]
+                size = np.array([len(x) for x in sets])
+                known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+                ends = np.cumsum(size)
+                mark = np.zeros(len(known), bool)
+
+                def linked(x: int, others: np.ndarray, size=size, flat=flat, ends=ends, mark=mark) -> np.ndarray:
+                    fits = np.flatnonzero(np.minimum(size[others], size[x]) >= config.needed(np.maximum(size[others], size[x])))
+                    hit = np.zeros(len(others), bool)
+                    if len(fits):
+                        m = size[others[fits]]
+                        begin = np.cumsum(m) - m
+                        place = np.arange(int(m.sum())) - np.repeat(begin - (ends[others[fits]] - m), m)
+                        own = flat[ends[x] - size[x] : ends[x]]
+                        mark[own] = True
+                        shared = np.add.reduceat(mark[flat[place]], begin, dtype=np.int64)
+                        mark[own] = False
+                        hit[fits] = config.linked(shared, size[x] + m)
+                    return hit
+
+                for x, y in search(hi - lo, linked):
+                    a.append(node[lo + x])
+                    b.append(node[lo + y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, config: JoinConfig) -> DataFrame:
+    """The candidate pairs that the bit counts do not rule out."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
 
     def by_bits(batch: pa.RecordBatch) -> list:
         columns = [pick(batch, c).to_pylist() for c in ("xa", "xb", "na", "nb")]
         return [[overlap_bound(x, y, m + n) >= config.needed_by(m + n) for x, y, m, n in zip(*columns, strict=True)]]
 
-    likely = materialize(append(pairs.join(left, "a").join(right, "b"), boolean, by_bits).filter("ok").select("a", "b"), "join-likely")
-    wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "rep"), "node")
-    items = materialize(_with_items(docs, materialize(wanted, "join-wanted"), config).select("node", "items"), "join-items")
-    both = likely.join(items.select(F.col("node").alias("a"), F.col("items").alias("xa")), "a").join(items.select(F.col("node").alias("b"), F.col("items").alias("xb")), "b")
+    return append(pairs.join(left, "a").join(right, "b"), [T.StructField("ok", T.BooleanType())], by_bits).filter("ok").select("a", "b")
+
+
+def _exact(pairs: DataFrame, items: DataFrame, config: JoinConfig) -> DataFrame:
+    """The pairs whose sets meet the threshold."""
+    both = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("xa")), "a").join(items.select(F.col("node").alias("b"), F.col("items").alias("xb")), "b")
 
     def exactly(batch: pa.RecordBatch) -> list:
         out = []
@@ -299,7 +372,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, config: JoinCon
             out.append(bool(config.linked(overlap(s, t), len(s) + len(t))))
         return [out]
 
-    return append(both, boolean, exactly).filter("ok").select("a", "b")
+    return append(both, [T.StructField("ok", T.BooleanType())], exactly).filter("ok").select("a", "b")
 
 
 def similar_texts(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,15 +386,18 @@ def similar_texts(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: st
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sets = materialize(_sets(docs, common_shingles(docs, config), config), "join-sets")
-    names = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep")).filter("rep IS NOT NULL")
-    one = sets.select(F.col("id").alias("rep"), F.col("node").alias("own"), "n", "keys", "bits", "head")
-    nodes = materialize(names.join(one, "rep").filter("node = own").drop("own").dropDuplicates(["node"]), "join-nodes")
-    links = materialize(_first_links(docs, nodes, config), "join-first")
-    known = connected_components(links)
-    nodes = materialize(nodes.join(known, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root", "keys"), "join-known")
-    more = _verify(docs, nodes, _candidates(nodes, config), config)
-    roots = connected_components(links.unionByName(more))
-    placed = materialize(nodes.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "join-placed")
+    names = materialize(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep")).filter("rep IS NOT NULL"), "join-names")
+    one = names.join(sets.select(F.col("id").alias("rep"), F.col("node").alias("own"), "n", "bits", "head"), "rep").filter("node = own").drop("own")
+    tiles = materialize(_tiles(one, config), "join-tiles")
+    nodes = materialize(one.drop("head").dropDuplicates(["node"]), "join-nodes")
+    likely = materialize(_likely(tiles.filter("tile IS NULL").select("a", "b").distinct(), nodes, config), "join-likely")
+    clusters = connected_components(_possible_links(tiles, nodes, config))
+    clusters = materialize(clusters.join(nodes.select("node", "n"), "node"), "join-clusters")
+    wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).unionByName(clusters.select("node")).distinct()
+    wanted = materialize(wanted.join(names, "node"), "join-wanted")
+    items = materialize(_with_items(docs, wanted, config).select("node", "items").dropDuplicates(["node"]), "join-items")
+    roots = connected_components(_exact(likely, items, config).unionByName(_cluster_links(clusters, items, config)))
+    placed = materialize(names.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "join-placed")
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
     classes = placed.join(smallest, "root").select("node", "component")
     found = sets.select("id", "n", "node").join(classes, "node", "left")
