@@ -1,0 +1,284 @@
+"""Language ID, toxicity, media, licences, secrets and the pipeline: held-out accuracy, round trips, plain versions."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import itertools
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import corpus_pipeline
+from ledgerspark.llm import bytescan, langid, licenses, media, packing, queries, secrets, toxicity
+from tests.conftest import SF
+
+MID = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, score string, spans string"
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(k, t, "clash", "clash") for k, t in enumerate(texts)], DOCS)
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return duckdb.sql(f"SELECT doc_id, text, source, lang FROM '{MID}/documents.parquet' ORDER BY doc_id").fetchall()
+
+
+# --- scanning ------------------------------------------------------------------------------------------------
+
+
+def test_words_equal_the_patterns():
+    texts = ["", None, "a", " a  b ", "été\x0bß ça", "x" * 50, "A-b_c 9é\n\nZ", "\x1f\x85  k", "end"]
+    for inside, pattern in ((bytescan.SPACED, r"[^\x20\x09-\x0D]+"), (bytescan.ALNUM, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")):
+        for size in (1, 20, 1 << 20):
+            found = []
+            for chunk in bytescan.chunks(pa.array(texts), size):
+                data = bytescan.LOWER[chunk.data]
+                words = bytescan.find_words(chunk, data, inside)
+                hashes = bytescan.word_hashes(data, words)
+                assert all(h == bytescan.hash_word(data[a:b].tobytes().decode()) for h, a, b in zip(hashes, words.start, words.end, strict=True))
+                found += [[data[words.start[k] : words.end[k]].tobytes().decode() for k in range(words.first[r], words.first[r + 1])] for r in range(chunk.rows)]
+            assert found == [re.findall(pattern, re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+
+
+# --- language ID ---------------------------------------------------------------------------------------------
+
+
+def test_langid_held_out(spark, documents):
+    truth = {d: lang for d, _, _, lang in documents}
+    got = queries.op5_langid(spark, MID).collect()
+    held = [r for r in got if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_langid_edges(spark):
+    texts = ["the cat and the dog", "der hund und die katze"] * 40
+    model = langid.fit(texts, ["en", "de"] * 40)
+    got = langid.predict(frame(spark, ["the cat", "", None, "12 34 !", "die katze", "the cat", "é", "the dog " * 5000]), model).collect()
+    assert [r["lang_pred"] for r in got][:6] == ["en", "und", "und", "und", "de", "en"]
+    assert got[0]["score"] == got[5]["score"] and not got[1]["accepted"] and got[7]["lang_pred"] == "en"
+    none = langid.fit([], [])
+    assert langid.predict(frame(spark, ["text"]), none).first()["lang_pred"] == "und"
+    assert langid.predict(frame(spark, []), model).count() == 0
+
+
+def test_langid_score_is_the_mean_over_grams():
+    model = langid.fit(["ab cd", "xy zw"] * 5, ["p", "q"] * 5)
+    whole = next(iter(bytescan.chunks(pa.array(["abc", "", "x", "zwxy ab"]))))
+    together, n = langid.row_scores(whole, model.scores, 16)
+    for k, text in enumerate(["abc", "", "x", "zwxy ab"]):
+        alone = next(iter(bytescan.chunks(pa.array([text]))))
+        z, m = langid.row_scores(alone, model.scores, 16)
+        assert np.allclose(z[0], together[k], atol=1e-5) and m[0] == n[k] == sum(max(0, len(text) - g + 1) for g in langid.ORDERS)
+
+
+# --- toxicity ------------------------------------------------------------------------------------------------
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(0)
+    odds, moves, bounds = rng.normal(0, 2, 9), rng.normal(0, 1, (2, 2)), np.array([0, 4, 5, 9])
+    marginal, expected = toxicity.forward_backward(odds, bounds, moves)
+    counts, wanted = np.zeros((2, 2)), np.zeros(9)
+    for lo, hi in itertools.pairwise(bounds):
+        total = 0.0
+        for tags in itertools.product((0, 1), repeat=hi - lo):
+            p = np.exp(sum(odds[lo + k] * t for k, t in enumerate(tags)) + sum(moves[a, b] for a, b in itertools.pairwise(tags)))
+            total += p
+        for tags in itertools.product((0, 1), repeat=hi - lo):
+            p = np.exp(sum(odds[lo + k] * t for k, t in enumerate(tags)) + sum(moves[a, b] for a, b in itertools.pairwise(tags))) / total
+            for k, t in enumerate(tags):
+                wanted[lo + k] += p * t
+            for a, b in itertools.pairwise(tags):
+                counts[a, b] += p
+    assert np.allclose(marginal, wanted) and np.allclose(expected, counts)
+
+
+def test_toxicity_held_out(spark):
+    truth = dict(duckdb.sql("SELECT doc_id, toxic FROM '/root/testdata/sf0.1/labels.parquet'").fetchall())
+    got = [r for r in queries.op7_toxicity(spark, "/root/testdata/sf0.1").collect() if r["held_out"] and r["doc_id"] in truth]
+    hit = sum(r["predicted"] and truth[r["doc_id"]] for r in got)
+    recall, precision = hit / sum(truth[r["doc_id"]] for r in got), hit / sum(r["predicted"] for r in got)
+    assert recall > 0.8 and precision > 0.85
+
+
+def test_toxicity_edges_and_spans(spark):
+    texts = [f"fine words {k} here" for k in range(90)] + [f"some é nasty{k % 7} word {k}" for k in range(30)]
+    model = toxicity.fit(texts, [0] * 90 + [1] * 30)
+    got = toxicity.score(frame(spark, ["ça NASTY3 b", "", None, "fine", "ça NASTY3 b", "fine " * 50_000 + "nasty9"]), model).collect()
+    assert [r["predicted"] for r in got] == [1, 0, 0, 0, 1, 1] and got[0]["score"] == got[4]["score"]
+    assert (got[0]["spans"][0]["start"], got[0]["spans"][0]["end"]) == (3, 9)
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert toxicity.score(frame(spark, ["x"]), toxicity.fit([], [])).first()["predicted"] == 0
+    assert toxicity.score(frame(spark, []), model).count() == 0
+
+
+# --- media ---------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("blocks", [1, 5, 6, 7, 24, 65])
+def test_jpeg_round_trip(blocks):
+    payload = np.random.default_rng(blocks).integers(0, 256, 64 * blocks, dtype=np.uint8).tobytes()
+    data = media.store(payload)
+    fast, slow = media.read(data), media.read(data, arrays=False)
+    assert media.payload_of(fast) == media.payload_of(slow) == payload
+    assert (fast.rgb == slow.rgb).all() and fast.rgb.shape == (fast.height, fast.width, 3)
+
+
+def test_jpeg_special_payloads():
+    for byte in (0, 127, 128, 255):
+        payload = bytes([byte]) * 64 * 700
+        assert media.payload_of(media.read(media.store(payload), pixels=False)) == payload
+    with pytest.raises(ValueError):
+        media.store(b"x")
+
+
+def test_inverse_transform_by_definition():
+    part = media.Component(1, 1, 1, 0, 1, 1, 1, np.random.default_rng(3).integers(-60, 60, (1, 64)))
+    got = media._plane(part, np.full(64, 2, np.float32))
+    f = np.zeros((8, 8))
+    f.ravel()[media.ZIGZAG] = part.coef[0] * 2
+    c = lambda k: np.sqrt(0.5) if k == 0 else 1.0
+    for y, x in itertools.product(range(8), repeat=2):
+        s = sum(c(u) * c(v) * f[v, u] * np.cos((2 * x + 1) * u * np.pi / 16) * np.cos((2 * y + 1) * v * np.pi / 16) for u, v in itertools.product(range(8), repeat=2)) / 4
+        assert abs(int(got[y, x]) - min(255, max(0, s + 128))) <= 1
+
+
+def test_progressive_scans_add_up():
+    """A hand-made grey stream: DC in two scans, AC with zero runs, a band end and a refinement that makes a coefficient."""
+    def bits(text):
+        text = text.replace(" ", "")
+        text += "1" * (-len(text) % 8)
+        return bytes(int(text[k : k + 8], 2) for k in range(0, len(text), 8)).replace(b"\xff", b"\xff\0")
+
+    seg = media._segment
+    head = b"\xff\xd8" + media._HEAD_TABLES + seg(0xC2, bytes([8, 0, 8, 0, 8, 1, 1, 0x11, 0]))
+    tables = seg(0xC4, media._table(0, 0, {2: 2}, bytes([2, 3])) + media._table(1, 0, {2: 3}, bytes([0x21, 0x01, 0x00])))
+    scan = media._scan
+    data = head + tables
+    data += scan(1, 0, 0, 0, 0, 1, bits("00 11"))  # DC 3 << 1
+    data += scan(1, 0, 0, 0, 1, 0, bits("1"))  # lowest bit: 7
+    data += scan(1, 0, 1, 63, 0, 1, bits("00 1  01 0  10"))  # two zeros then +1, then -1, end of band
+    data += scan(1, 0, 1, 63, 1, 0, bits("01 1  10  1 0"))  # a new +1, then the band ends: +2 becomes +3, -2 stays
+    image = media.read(data + b"\xff\xd9")
+    assert image.components[0].coef[0, :6].tolist() == [7, 1, 0, 3, -2, 0] and image.rgb.shape == (8, 8, 3)
+
+
+def test_media_columns(spark):
+    texts = ["", None, "abc", "é" * 40, "abc", "x" * 100_000]
+    got = media.media_columns(frame(spark, texts)).collect()
+    for r, text in zip(got, texts, strict=True):
+        raw = (text or "").encode()
+        payload = raw + b"\0" * (-len(raw) % 64 if raw else 64)
+        assert (r["n_bytes"], r["payload_bytes"]) == (len(raw), len(payload))
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-64:])
+        assert r["media_bytes"] == len(r["media"]) and len(r["rgb"]) == 3 * r["height"] * r["width"]
+        assert media.payload_of(media.read(bytes(r["media"]))) == payload
+    assert got[2]["feature"] == got[4]["feature"] and got[2]["media_sha256"] == got[4]["media_sha256"]
+    assert media.media_columns(frame(spark, [])).count() == 0
+
+
+# --- licences ------------------------------------------------------------------------------------------------
+
+
+def plain_licenses(texts, threshold=0.8):
+    templates = [(label, set(licenses.split_words(t))) for label, t in licenses.TEMPLATES]
+    for text in texts:
+        words = licenses.split_words(text or "")
+        places = [(k, label) for phrase, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
+        lines = [licenses.split_words(x) for x in (text or "").split("\n")]
+        blocks, own = [x for x in lines if x], []
+        for x in [*lines, []]:
+            if x:
+                own += x
+            elif own:
+                blocks.append(own)
+                own = []
+        best = [(len(set(b) & t) / len(t), label) for b in blocks for label, t in templates if len(set(b) & t) >= threshold * len(t) - 1e-9]
+        base = {label for _, label in places}
+        score = 1.0 if base else max((c for c, _ in best), default=0.0)
+        yield len(words), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), ",".join(sorted(base)), ",".join(sorted(base | {x for _, x in best})), pytest.approx(score)
+
+
+def test_licenses_equal_plain_version(spark, documents):
+    texts = [t for _, t, *_ in documents] + ["", None, "CC-BY cc by", "All rights\nreserved. all rights reserved", "Released under\nthe MIT License", "Permission to use, copy, modify, and distribute this software for any purpose with fee is hereby granted\nx", "licensed under the Apache Licence, version 2.0", "é general public license é"]
+    got = licenses.scan_licenses(frame(spark, texts)).orderBy("doc_id").collect()
+    columns = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    for r, wanted in zip(got, plain_licenses(texts), strict=True):
+        assert tuple(r[c] for c in columns) == wanted
+    assert licenses.scan_licenses(frame(spark, [])).count() == 0
+
+
+# --- secrets -------------------------------------------------------------------------------------------------
+
+
+def test_secrets_held_out():
+    forest = secrets.fit()
+    made = secrets.made_findings(800, 12345)
+    x = np.array([secrets.describe(t[a:b], t[max(0, a - secrets.CONTEXT) : a], t[b : b + 8]) for t, a, b, _ in made])
+    assert np.mean((forest.predict(x) >= 0.5) == [y for *_, y in made]) > 0.97
+
+
+def test_secrets_in_documents(spark, documents):
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text"), secrets.fit()).collect()}
+    planted = re.compile(r'(?:token = "|password=)([0-9a-f]{16,})', re.I)
+    for d, text, *_ in documents:
+        known = planted.findall(text)
+        assert [text[s["start"] : s["end"]] for s in got[d]["findings"]] == known
+        assert not any(k in got[d]["redacted"] for k in known)
+        if not known:
+            assert got[d]["redacted"] == text
+
+
+def test_secrets_edges(spark):
+    secret = "Zk39fjQx0pLm4Vt7"
+    texts = ["", None, f"é token={secret}", f"é token={secret}", "plain words only", f"a {secret[:8]}", "password=" + secret + " " + "word " * 60_000]
+    got = secrets.scan_secrets(frame(spark, texts), secrets.fit()).collect()
+    assert [r["n_findings"] for r in got] == [0, 0, 1, 1, 0, 0, 1]
+    assert got[1]["redacted"] is None and got[2]["redacted"] == "é token=[SECRET]" and got[2]["findings"][0]["start"] == 8
+    assert secrets.scan_secrets(frame(spark, []), secrets.fit()).count() == 0
+
+
+def test_candidates_never_cross_rows():
+    chunk = next(iter(bytescan.chunks(pa.array(["abcdef123", "456789xyz", "k=abcdefgh12345=="]))))
+    assert [(r, chunk.data[chunk.bounds[r] + a : chunk.bounds[r] + b].tobytes()) for r, a, b in secrets.candidates(chunk)] == [(2, b"abcdefgh12345==")]
+
+
+# --- pipeline ------------------------------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        out.write.parquet(str(tmp_path / name))
+        kept[name] = docs = spark.read.parquet(str(tmp_path / name))
+        if name != "pack":
+            assert docs.columns == columns
+    first = {r["doc_id"]: r for r in kept["language_id"].collect()}
+    predicted = {r["doc_id"]: r for r in queries.op5_langid(spark, SF).collect()}
+    assert all(predicted[d]["lang_pred"] != "und" for d in first)
+    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    sets = {d: frozenset(zip(*[words(r["text"])[k:] for k in range(5)], strict=False)) or frozenset([tuple(words(r["text"]))]) for d, r in first.items()}
+    unique = {r["doc_id"]: r for r in kept["near_duplicates"].collect()}
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    assert not any(linked(a, b) for a, b in itertools.combinations(unique, 2))
+    assert all(any(d != x and linked(d, x) for x in first) for d in first if d not in unique)
+    safe = {r["doc_id"]: r["text"] for r in kept["secret_scan"].collect()}
+    assert set(safe) == set(unique) and not any(re.search(r'(?:token = "|password=)[0-9a-f]{16,}', t, re.I) for t in safe.values())
+    mixed = collections.Counter(r["doc_id"] for r in kept["mix"].collect())
+    assert set(mixed) <= set(safe) and max(mixed.values()) <= 3
+    packed = collections.Counter()
+    for r in kept["pack"].collect():
+        packed[r["doc_id"]] += r["length"]
+    assert packed == collections.Counter({d: n * len(safe[d].split()) for d, n in mixed.items()})
+    assert packing.PackConfig().lengths[-1] == 4096
