@@ -185,8 +185,7 @@ def retention_dense_rank(t: Tables) -> DataFrame:
     return dedup.retain_recent(o, ["ticker"], "y", 2).drop("y")
 
 
-@query("""WITH s AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC) <= 3)
-SELECT o.o_custkey AS ticker, o_orderkey FROM orders o JOIN (SELECT o_custkey, d FROM (SELECT o_custkey, d, row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC) AS rn FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders)) WHERE rn <= 3) k ON o.o_custkey = k.o_custkey AND CAST(o.o_orderdate AS DATE) = k.d""")
+@query("""SELECT o.o_custkey AS ticker, o_orderkey FROM orders o JOIN (SELECT o_custkey, d FROM (SELECT o_custkey, d, row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC) AS rn FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders)) WHERE rn <= 3) k ON o.o_custkey = k.o_custkey AND CAST(o.o_orderdate AS DATE) = k.d""")
 def slot_prune(t: Tables) -> DataFrame:
     o = t.orders.select(F.col("o_custkey").alias("ticker"), "o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
     return dedup.prune_slots(o, ["ticker"], "d", 3).select("ticker", "o_orderkey")
