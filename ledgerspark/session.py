@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +46,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver found it: send it along, once per context."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if getattr(context, "_ledgerspark_shipped", False) or not root.is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="ledgerspark-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/ledgerspark", "zip", root.parent, root.name))
+    context._ledgerspark_shipped = True
