@@ -16,12 +16,17 @@ from ledgerspark.llm.queries import held_out
 from ledgerspark.session import shared_dir
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``text`` and all other columns as ``row``, so that none meets an operator's column of the same name."""
+    return docs.select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence stay; those rejected, and texts without a letter, go."""
     config = langid.LangidConfig()
     texts, langs = langid.sample_labelled(docs, ~held_out(), config)
-    found = langid.predict(docs, langid.fit(texts, langs, config))
-    return found.filter("accepted").select(docs.columns)
+    found = langid.predict(_apart(docs), langid.fit(texts, langs, config))
+    return found.filter("accepted").select("text", "row.*").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets found in its text are replaced by a mark."""
-    found = secrets.scan_secrets(docs, secrets.fit())
-    changed = found.withColumn("text", F.col("redacted")).withColumn("n_chars", F.when(F.col("n_findings") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return changed.select(docs.columns)
+    found = secrets.scan_secrets(_apart(docs), secrets.fit())
+    length = F.when(F.col("n_findings") > 0, F.length("redacted")).otherwise(F.col("row.n_chars")).cast("long")
+    return found.select(F.col("redacted").alias("text"), "row.*", length.alias("__length")).withColumn("n_chars", F.col("__length")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.session import ship_package
+
 _ARROW = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(), T.BinaryType(): pa.binary()}
 
 
@@ -17,6 +19,7 @@ def append(df: DataFrame, fields: list[T.StructField], compute: Callable[[pa.Rec
 
     A column of ``df`` named like a new field is replaced by it.
     """
+    ship_package(df.sparkSession)
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in {f.name.lower() for f in fields}])
     kinds = [_arrow_type(f.dataType) for f in fields]
     names = [*kept.columns, *(f.name for f in fields)]
@@ -31,6 +34,7 @@ def append(df: DataFrame, fields: list[T.StructField], compute: Callable[[pa.Rec
 
 def rows(df: DataFrame, schema: T.StructType, produce: Callable[[pa.RecordBatch], Iterator[dict]]) -> DataFrame:
     """Rows made from each batch: ``produce`` yields columns (name to list or array) of any common length."""
+    ship_package(df.sparkSession)
     kinds = {f.name: _arrow_type(f.dataType) for f in schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

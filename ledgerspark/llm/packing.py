@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.mixing import word_count
+from ledgerspark.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -88,6 +89,7 @@ def pack(docs: DataFrame, config: PackConfig = PackConfig(), id_col: str = "doc_
     a permitted length. A null, empty or wordless text is one piece of length 0 in no bin (nulls). Repeated rows are
     packed each. Other columns are ignored; an empty table gives an empty one. Reruns agree.
     """
+    ship_package(docs.sparkSession)
     greatest = max(config.lengths)
     sized = docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"))
     number = F.posexplode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(greatest).cast("long")))

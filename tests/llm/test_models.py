@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerspark.llm import bytescan, langid, licenses, media, packing, queries, secrets, toxicity
@@ -256,14 +257,14 @@ def test_candidates_never_cross_rows():
 
 
 def test_pipeline_stages(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("best", F.lit("clash")).withColumn("accepted", F.lit("clash"))
     columns, kept = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         out.write.parquet(str(tmp_path / name))
         kept[name] = docs = spark.read.parquet(str(tmp_path / name))
         if name != "pack":
-            assert docs.columns == columns
+            assert docs.columns == columns and docs.filter("best <> 'clash' OR accepted <> 'clash'").count() == 0
     first = {r["doc_id"]: r for r in kept["language_id"].collect()}
     predicted = {r["doc_id"]: r for r in queries.op5_langid(spark, SF).collect()}
     assert all(predicted[d]["lang_pred"] != "und" for d in first)
