@@ -42,7 +42,7 @@ class JoinConfig:
     order_rows: int = 8192
     common_from: int = 4
     most_common: int = 200_000
-    small_tile: int = 48
+    small_tile: int = 4
     block_items: int = 2_000_000
 
     def needed(self, n: np.ndarray | int) -> np.ndarray | int:
