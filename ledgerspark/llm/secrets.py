@@ -1,7 +1,9 @@
-"""Secret scans: token runs are candidates, a random forest removes the false positives.
+"""Secret scans: token runs and named values are candidates, a random forest removes the false positives.
 
 A candidate is a run of ``[A-Za-z0-9+/=_.~-]`` of some length with a digit or an assignment in it; of ``name=value``
-the value is the candidate. The forest sees its length, character transitions, coverage by dictionary words, path
+the value is the candidate. So is every value after a telling name (``password``, ``dbPassword``, ``api_key``) and a
+separator, of any length and of any characters but white space and quotes; closing ``.,;`` of the sentence are not
+part of it. After a space alone, the name must be the telling word itself or end in it. The forest sees its length, character transitions, coverage by dictionary words, path
 marks and the neighbouring words. It is trained from labelled findings (text, start, end, label); without any
 of one's own, from findings made by rule with a fixed seed.
 """
@@ -34,11 +36,18 @@ CONTEXT = 48
 #: Words beside which a value is likely a secret, and beside which it is not.
 TELLING = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "credentials", "private", "access")
 HARMLESS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "guid", "id", "version", "build", "revision", "href", "src", "url", "file", "path", "image", "example", "sample", "phone", "date", "order", "isbn", "etag")
+#: What stands after a telling name where no secret does.
+_FILLERS = frozenset(("none", "null", "nil", "true", "false", "str", "string", "bool", "int", "text", "required", "optional", "yes", "no", "is", "was", "of", "to", "the", "a", "an", "in", "for", "and", "or", "not", "on", "with", "by", "are", "must", "can", "will", "bearer", "basic", "undefined", "empty", "changeme", "redacted", "hidden"))
 #: Words whose letters count as dictionary coverage.
 DICTIONARY = ("about", "access", "account", "admin", "agent", "and", "api", "app", "article", "assets", "auth", "base", "blog", "build", "change", "class", "client", "code", "com", "component", "config", "connect", "content", "context", "count", "create", "data", "date", "default", "demo", "dev", "doc", "docs", "download", "error", "event", "example", "export", "field", "file", "first", "foo", "for", "form", "format", "from", "function", "get", "handler", "header", "here", "home", "html", "http", "https", "image", "images", "import", "index", "info", "input", "int", "item", "json", "key", "last", "lib", "license", "line", "link", "list", "local", "log", "main", "manager", "max", "message", "method", "min", "model", "module", "name", "net", "new", "node", "number", "object", "org", "output", "page", "param", "password", "path", "placeholder", "plugin", "port", "post", "process", "product", "project", "public", "query", "release", "report", "request", "resource", "response", "result", "root", "sample", "script", "search", "secret", "section", "server", "service", "session", "set", "size", "source", "src", "start", "state", "static", "status", "string", "style", "system", "table", "temp", "test", "text", "the", "time", "title", "token", "tool", "type", "update", "upload", "url", "user", "util", "value", "version", "view", "web", "with", "word", "world", "www", "your")
 _WORDS = re.compile("|".join(sorted(DICTIONARY, key=len, reverse=True)))
 _NEAR = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _PLAIN = re.compile(r"[A-Za-z_.~-]{2,}")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_TOLD = re.compile(r"(?:^|_)(?:" + "|".join(TELLING) + r")s?\d*(?:_|$)|(?:password|passwd|pwd|secret|token|apikey|api_key|credential)s?\d*$")
+_NAME = re.compile(("(?:" + "|".join(sorted(TELLING, key=len, reverse=True)) + ")([a-z0-9_-]*)").encode())
+_VALUE = re.compile(rb"""["'`]?[\])]?[ \t]*(?:=>|[:=]=|[=:>])[ \t]*["'`]?([^\s"'`]+)""")
+_SPACED_VALUE = re.compile(rb"""[ \t]+["'`]?([^\s"'`]+)""")
 _FILE = re.compile(r"\.[A-Za-z]{2,4}$")
 _COMMON_PAIRS = frozenset(a + b for w in DICTIONARY for a, b in zip(w, w[1:], strict=False))
 
@@ -88,16 +97,18 @@ def describe(value: str, before: str, after: str) -> list[float]:
     entropy = -sum(p * math.log2(p) for p in spread)
     covered = sum(len(m) for m in _WORDS.findall(letters)) / n
     near = [w.lower() for w in _NEAR.findall(before)[-3:]]
+    last = _NEAR.findall(before)[-1:]
     close = near[-1:] + [p for w in near[-1:] for p in w.split("_")]
+    told = any(w in TELLING for w in close) or any(_TOLD.search(_CAMEL.sub("_", w).lower()) for w in last)
     ends = before.rstrip().rstrip("\"'").rstrip()
     return [
         float(n), *counts, moves, common, len(pairs) / n, entropy, entropy / math.log2(n + 1), covered,
         float(all(c in string.hexdigits for c in value)), float(value.count("/")), float(value.count(".")), float(value.count("-")), float(value.count("_")),
         float(_FILE.search(value) is not None), float(re.search(r"://|www\.|\.com|\.org", value) is not None or before.endswith(("/", "://", "\\"))),
         max((len(m) for m in _PLAIN.findall(value)), default=0) / n, float(len(set(value)) / n),
-        float(any(w in TELLING for w in close)), float(any(w in TELLING for w in near)), float(any(w in HARMLESS for w in near)),
+        float(told), float(told or any(w in TELLING for w in near)), float(any(w in HARMLESS for w in near)),
         float(ends.endswith(("=", ":"))), float(before[-1:] in "\"'" and bool(before)), float(after[:1] in "\"'" and bool(after)),
-        float(value.startswith(("AKIA", "ghp_", "sk_", "xox", "eyJ"))),
+        float(value.startswith(("AKIA", "ghp_", "sk_", "xox", "eyJ"))), float(value[:1] in "$<{%" and value[-1:] in "})>s" or value[-1:] in ")]"), float(any(c in "(){}[]<>;" for c in value)), float(letters in _FILLERS or value.isdigit() and n < 4),
     ]
 
 
@@ -134,6 +145,32 @@ def made_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
         lambda: ("", chars(string.digits, rng.randint(12, 20))),
         lambda: ("", rng.choice(("=", "-", "_", ".", "ab", "=-")) * rng.randint(8, 30) + "1"),
     )
+    leet = str.maketrans("aeiost", "431057")
+    title = lambda w: w[0].upper() + w[1:]
+    telling = lambda: name() if rng.random() < 0.6 else rng.choice(("key", "private_key", "access_token", "DB_PASSWORD", "db_pwd", "clientSecret", "userPassword", "apiKey", "credentials", "auth"))
+    chosen = (
+        lambda: nonsense() + str(rng.randint(1, 9999)),
+        lambda: title(nonsense()).translate(leet) + chars(string.digits, rng.randint(1, 3)),
+        lambda: title(nonsense()).translate(leet) + rng.choice("!@#$%^&*?") + str(rng.randint(1, 2030)),
+        lambda: title(rng.choice(DICTIONARY)).replace("a", "@").replace("o", "0") + rng.choice("!@#$%^&*?") + chars(string.digits, rng.randint(2, 4)),
+        lambda: chars(alnum + "!@#$%^&*?", rng.randint(6, 16)),
+        lambda: chars(alnum, rng.randint(6, 11)),
+        lambda: chars(string.ascii_letters, rng.randint(8, 40)),
+        lambda: chars(string.ascii_lowercase, rng.randint(12, 32)),
+        lambda: nonsense() + rng.choice("äöüßéèñç") + nonsense() + rng.choice("!@#$%^&*?1234567890"),
+    )
+    cased = lambda w: rng.choice((w, w, title(w), w.upper()))
+    explicit = lambda: rng.choice(("=", " = ", ": ", ":", ' = "', "='", '": "', '" => "', ': "'))
+    unlikely = (
+        lambda: (telling() + explicit(), cased(rng.choice(sorted(_FILLERS)))),
+        lambda: (telling() + explicit(), cased(rng.choice(DICTIONARY))),
+        lambda: (telling() + explicit(), words(rng.randint(2, 3), rng.choice("._-")) + rng.choice(("", "()", "(self)", "[0]", "()."))),
+        lambda: (telling() + explicit(), rng.choice(("${", "{{", "<", "$(", "%(", "{")) + cased(rng.choice((words(rng.randint(1, 2), "_"), words(1, "") + "_" + chars(string.ascii_lowercase, 4)))) + rng.choice(("}", "}}", ">", ")", ")s"))),
+        lambda: (telling() + explicit(), chars(rng.choice(("*", "x", "X", "#")), rng.randint(3, 11))),
+        lambda: (rng.choice(("key", "access", "auth", "token")) + explicit(), str(rng.randint(0, 99))),
+        lambda: (rng.choice(("the key ", "access ", "private ", "a secret ", "its token ", "your password ", "each key ")), rng.choice((rng.choice(sorted(_FILLERS)), rng.choice(DICTIONARY), nonsense()))),
+        lambda: ("Authorization: ", rng.choice(("Bearer", "Basic", "Token"))),
+    )
     out = []
     for k in range(n):
         lead = " ".join(nonsense() for _ in range(3)) + " "
@@ -142,8 +179,10 @@ def made_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
             if rng.random() < 0.1:
                 start = lead
                 value = rng.choice(("AKIA" + chars(string.ascii_uppercase + string.digits, 16), "ghp_" + chars(alnum, 36)))
+            elif rng.random() < 0.35:
+                value, start = rng.choice(chosen)(), lead + (telling() + explicit() if rng.random() < 0.85 else rng.choice(("Bearer ", "password ", "pwd ", "token ")))
         else:
-            mark, value = rng.choice(harmless)()
+            mark, value = rng.choice(harmless if rng.random() < 0.65 else unlikely)()
             start = lead + mark
         out.append((start + value + rng.choice(("", '"', "'", " ")) + nonsense(), len(start), len(start) + len(value), k % 2))
     return out
@@ -196,7 +235,28 @@ def _grow(x: np.ndarray, y: np.ndarray, rows: np.ndarray, rng: np.random.Generat
 
 
 def candidates(chunk: Chunk) -> list[tuple[int, int, int]]:
-    """(row, first byte, end byte within the row) of candidate values."""
+    """(row, first byte, end byte within the row) of candidate values, in order, each once; two may overlap."""
+    return sorted({*_runs(chunk), *_named_values(chunk)})
+
+
+def _named_values(chunk: Chunk) -> list[tuple[int, int, int]]:
+    """Every value after a telling name and a separator."""
+    out = []
+    data = chunk.data.tobytes()
+    for row in range(chunk.rows):
+        text = data[chunk.bounds[row] : chunk.bounds[row + 1]]
+        for found in _NAME.finditer(text.lower()):
+            value = _VALUE.match(text, found.end()) or (None if found[1] else _SPACED_VALUE.match(text, found.end()))
+            if value:
+                a = value.start(1)
+                b = a + len(value[1].rstrip(b".,;"))
+                if a < b:
+                    out.append((row, a, b))
+    return out
+
+
+def _runs(chunk: Chunk) -> list[tuple[int, int, int]]:
+    """Long runs of token characters with a digit or an assignment in them."""
     data = chunk.data
     flag = np.concatenate([[False], _CLASS[data], [False]])
     flag_change = np.flatnonzero(flag[1:] != flag[:-1])
@@ -229,7 +289,8 @@ def candidates(chunk: Chunk) -> list[tuple[int, int, int]]:
 def scan_secrets(docs: DataFrame, forest: Forest, config: SecretsConfig = SecretsConfig(), mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_candidates, n_findings long, best double, findings_sha256 string, findings, redacted string``.
 
-    A finding is a candidate whose forest score is the threshold or more: first and end code point, score. ``best`` is
+    A finding is a candidate whose forest score is the threshold or more: first and end code point, score; those that overlap
+    are one finding, from the first to the last code point of them and with the greatest score. ``best`` is
     the greatest score of a candidate (0 without), the digest is of all found values, a line each, in order;
     ``redacted`` is the text with each finding replaced by ``mark`` (null for a null text). Input columns of these names are
     replaced. Whole texts are scanned, a null one as empty; equal texts get equal values.
@@ -257,16 +318,23 @@ def scan_secrets(docs: DataFrame, forest: Forest, config: SecretsConfig = Secret
                 after = chunk.data[base + b : min(base + b + 8, int(chunk.bounds[row + 1]))].tobytes().decode(errors="ignore")
                 value = chunk.data[base + a : base + b].tobytes().decode()
                 x.append(describe(value, before, after))
-                seen.append((row + chunk.first, base, a, b, value))
+                seen.append((row + chunk.first, base, a, b))
             p = shared.value.predict(np.array(x))
-            for (row, base, a, b, value), score in zip(seen, p.tolist(), strict=True):
+            merged: list[list] = []
+            for (row, base, a, b), score in zip(seen, p.tolist(), strict=True):
                 count[row] += 1
                 best[row] = max(best[row], score)
                 if score >= config.threshold:
-                    start = len(chunk.data[base : base + a].tobytes().decode())
-                    hits[row] += 1
-                    spans[row].append({"start": start, "end": start + len(value), "p": score})
-                    found[row].append(value)
+                    if merged and merged[-1][0] == row and a < merged[-1][3]:
+                        merged[-1][3:] = max(b, merged[-1][3]), max(score, merged[-1][4])
+                    else:
+                        merged.append([row, base, a, b, score])
+            for row, base, a, b, score in merged:
+                start = len(chunk.data[base : base + a].tobytes().decode())
+                value = chunk.data[base + a : base + b].tobytes().decode()
+                hits[row] += 1
+                spans[row].append({"start": start, "end": start + len(value), "p": score})
+                found[row].append(value)
         for row in range(n):
             if spans[row]:
                 text, parts, at = column[row].as_py(), [], 0

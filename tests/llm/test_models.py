@@ -253,6 +253,16 @@ def test_candidates_never_cross_rows():
     assert [(r, chunk.data[chunk.bounds[r] + a : chunk.bounds[r] + b].tobytes()) for r, a, b in secrets.candidates(chunk)] == [(2, b"abcdefgh12345==")]
 
 
+def test_secrets_short_or_odd_values_after_a_telling_name(spark):
+    values = {"password=hunter2": "hunter2", "é pwd=Tr0ub4dor3 é": "Tr0ub4dor3", 'api_key: "AbCdEfGhIjKlMnOpQrSt"': "AbCdEfGhIjKlMnOpQrSt", 'token = "QwErTyUiOpAsDfGh"': "QwErTyUiOpAsDfGh", "password=P@ssw0rd!2024": "P@ssw0rd!2024", "Authorization: Bearer abcDEFghiJKLmno": "abcDEFghiJKLmno", "dbPassword=zk39fj!x9, user=bob": "zk39fj!x9", "client_secret=0123456789abcdef&x=1": "0123456789abcdef&x=1"}
+    harmless = ["the key idea is that access to the private area", "password=None", "token = get_token()", "password: string", "password=${DB_PASS}", "see key: value", "the secret garden"]
+    rows = [*values, *harmless, "a password=", "hunter2"]
+    got = secrets.scan_secrets(frame(spark, rows), secrets.fit()).orderBy("doc_id").collect()
+    for r, text in zip(got, rows, strict=True):
+        assert [text[s["start"] : s["end"]] for s in r["findings"]] == ([values[text]] if text in values else []), text
+        assert r["redacted"] == (text.replace(values[text], "[SECRET]") if text in values else text)
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------
 
 
