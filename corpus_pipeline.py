@@ -30,11 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts the document with the smallest id stays, once. Rows without an id all stay."""
-    found = shinglejoin.similar_texts(docs)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+    """Of each group of linked texts one row stays, with the smallest id of the group; rows without an id go like others, after those with one."""
+    return shinglejoin.keep_one(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,8 +167,8 @@ def _sets(docs: DataFrame, common: np.ndarray, config: JoinConfig) -> DataFrame:
 
 
 def _with_items(docs: DataFrame, wanted: DataFrame, config: JoinConfig) -> DataFrame:
-    """``wanted`` (with ``rep``, an id) with ``items``, the sorted hashes of that row's text as bytes."""
-    joined = docs.withColumnRenamed("id", "rep").join(wanted, "rep")
+    """``wanted`` (with ``key``, a row's) with ``items``, the sorted hashes of that row's text as bytes."""
+    joined = docs.select("key", "text").join(wanted, "key").dropDuplicates(["key", "node"])
 
     def compute(batch: pa.RecordBatch) -> list:
         sets = [items for chunk in chunks(pick(batch, "text")) for items in shingle_sets(chunk, config.words)]
@@ -375,30 +375,59 @@ def _exact(pairs: DataFrame, items: DataFrame, config: JoinConfig) -> DataFrame:
     return append(both, [T.StructField("ok", T.BooleanType())], exactly).filter("ok").select("a", "b")
 
 
-def similar_texts(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_shingles, component_id``, one row per input row.
+def _keyed(id_col: str, text_col: str):
+    """A 64-bit key of an id and a text; rows with the same of both are alike to the join."""
+    return F.xxhash64(F.col(id_col).isNull(), id_col, text_col)
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a text's set has its distinct shingles, the whole
-    sequence if it has fewer words than a shingle. Texts are linked at ``100 * shared >= percent * union``;
-    ``component_id`` is the smallest id reachable. A null or empty text or one without words has no shingles and
-    is linked with nothing. Repeated rows and ids are kept and linked; rows with a null id keep a null
-    component unless linked with others. Other columns are ignored; an empty table gives an empty one.
+
+def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]:
+    """``id, key, n, node`` of each row of ``id, key, text``, and ``node, root, rep``: the component of each node, and its smallest id.
+
+    A node is read from the row with its smallest key, so that nodes whose rows all have null ids (``rep`` null) are linked, too.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sets = materialize(_sets(docs, common_shingles(docs, config), config), "join-sets")
-    names = materialize(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep")).filter("rep IS NOT NULL"), "join-names")
-    one = names.join(sets.select(F.col("id").alias("rep"), F.col("node").alias("own"), "n", "bits", "head"), "rep").filter("node = own").drop("own")
+    names = materialize(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.min("key").alias("key")), "join-names")
+    one = names.join(sets.select("key", F.col("node").alias("own"), "n", "bits", "head"), "key").filter("node = own").drop("own").dropDuplicates(["key", "node"])
     tiles = materialize(_tiles(one, config), "join-tiles")
-    nodes = materialize(one.drop("head").dropDuplicates(["node"]), "join-nodes")
+    nodes = materialize(one.drop("head"), "join-nodes")
     likely = materialize(_likely(tiles.filter("tile IS NULL").select("a", "b").distinct(), nodes, config), "join-likely")
     clusters = connected_components(_possible_links(tiles, nodes, config))
     clusters = materialize(clusters.join(nodes.select("node", "n"), "node"), "join-clusters")
     wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).unionByName(clusters.select("node")).distinct()
-    wanted = materialize(wanted.join(names, "node"), "join-wanted")
-    items = materialize(_with_items(docs, wanted, config).select("node", "items").dropDuplicates(["node"]), "join-items")
+    wanted = materialize(wanted.join(names.select("node", "key"), "node"), "join-wanted")
+    items = materialize(_with_items(docs, wanted, config).select("node", "items"), "join-items")
     roots = connected_components(_exact(likely, items, config).unionByName(_cluster_links(clusters, items, config)))
     placed = materialize(names.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "join-placed")
+    return sets.select("id", "key", "n", "node"), placed
+
+
+def similar_texts(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, n_shingles, component_id``, one row per input row.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a text's set has its distinct shingles, the whole
+    sequence if it has fewer words than a shingle. Texts are linked at ``100 * shared >= percent * union``;
+    ``component_id`` is the smallest id reachable. A null or empty text or one without words has no shingles and
+    is linked with nothing. Repeated rows and ids are kept and linked; rows with a null id keep a null
+    component unless linked with others. Other columns are ignored; an empty table gives an empty one.
+    """
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _keyed(id_col, text_col).alias("key"))
+    sets, placed = _classes(docs, config)
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
     classes = placed.join(smallest, "root").select("node", "component")
     found = sets.select("id", "n", "node").join(classes, "node", "left")
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of linked texts: one with the smallest id (null after all others), of its texts any, but always the same.
+
+    Texts without a word are linked with nothing; their rows stay, repeated ones with an id once.
+    """
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _keyed(id_col, text_col).alias("key"))
+    sets, placed = _classes(texts, config)
+    best = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "key")).alias("best")
+    first = sets.filter("node IS NOT NULL").join(placed.select("node", "root"), "node").groupBy("root").agg(best).select("best.key")
+    first = first.withColumn("once", F.lit(True)).unionByName(sets.filter("node IS NULL").select("key", F.col("id").isNotNull().alias("once")).distinct())
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _keyed(id_col, text_col).alias("key")).join(first, "key")
+    kept = kept.filter("once").dropDuplicates(["key"]).unionByName(kept.filter("NOT once"))
+    return kept.select("row.*")

@@ -166,6 +166,24 @@ def test_shingle_join_edges(spark):
     assert shinglejoin.similar_texts(frame(spark, [])).count() == 0
 
 
+def test_null_and_repeated_ids_are_linked_and_kept_once(spark):
+    words = [f"w{k}" for k in range(60)]
+    chain = [" ".join(words[k : k + 54]) for k in (0, 3, 6)]  # neighbours are linked, the ends are not
+    plain = plain_components(list(enumerate(chain)))
+    assert plain_components([(0, chain[0]), (2, chain[2])])[2][1] == 2 and plain[2][1] == 0
+    other = " ".join(f"v{k}" for k in range(40))
+    rows = [(3, chain[0]), (None, chain[1]), (5, chain[2]), (None, other), (None, other), (None, other + " end"), (7, "x y z"), (7, "x y z"), (9, None), (None, ""), (None, "")]
+    rows += [(11, "one text that heads its own component here"), (11, chain[0] + " end"), (12, "p q r s t u v w x y"), (12, "p q r s t u v w x y")]
+    got = shinglejoin.similar_texts(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got if r["n_shingles"] >= 50) == [(0, 3), (3, 3), (5, 3), (11, 3)]
+    kept = shinglejoin.keep_one(frame(spark, rows)).collect()
+    assert len(kept[0]) == 5
+    alone = [r for r in kept if r["text"] is not None and r["text"].startswith("v0")]
+    assert len(alone) == 1
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept if r not in alone) == sorted([("3", chain[0]), ("7", "x y z"), ("9", None), ("None", ""), ("None", ""), ("11", rows[11][1]), ("12", rows[13][1])], key=lambda x: (x[0], x[1] or ""))
+    assert shinglejoin.keep_one(frame(spark, [])).count() == 0
+
+
 def test_bitmap_bounds_overlap():
     r = np.random.default_rng(1)
     for _ in range(50):
