@@ -307,40 +307,51 @@ def _folded(bits: bytes, width: int) -> np.ndarray:
     return x
 
 
-def _cluster_links(clusters: DataFrame, items: DataFrame, config: JoinConfig) -> DataFrame:
-    """``a, b``: a forest of the true links within each cluster (``node, n, root``), searched by pairs of blocks."""
+def _block_pairs(clusters: DataFrame, config: JoinConfig) -> DataFrame:
+    """``clusters`` (with ``node, n, root``), each node in the tile of each pair of blocks that its own is in; ``side`` tells which (null: both)."""
     total = clusters.groupBy("root").agg(F.sum("n").alias("total"))
     blocks = clusters.join(total, "root").withColumn("blocks", F.ceil(F.col("total") / config.block_items).cast("long"))
     own = F.pmod("node", F.col("blocks"))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
-    dealt = blocks.withColumn("t", F.explode(others)).select("node", "root", F.xxhash64("root", "t.i", "t.j").alias("tile"))
-    dealt = dealt.join(items, "node").repartition("tile").sortWithinPartitions("tile", "node")
+    side = F.when(F.col("t.i") != F.col("t.j"), (own == F.col("t.j")).cast("long"))
+    return blocks.withColumn("t", F.explode(others)).withColumn("tile", F.xxhash64("root", "t.i", "t.j")).withColumn("side", side)
+
+
+def _linker(raw: np.ndarray, config: JoinConfig):
+    """linked(x, others) by exact intersection of the sets ``raw``."""
+    sets = [np.frombuffer(x, np.uint64) for x in raw]
+    size = np.array([len(x) for x in sets])
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    mark = np.zeros(len(known), bool)
+
+    def linked(x: int, others: np.ndarray) -> np.ndarray:
+        fits = np.flatnonzero(np.minimum(size[others], size[x]) >= config.needed(np.maximum(size[others], size[x])))
+        hit = np.zeros(len(others), bool)
+        if len(fits):
+            m = size[others[fits]]
+            begin = np.cumsum(m) - m
+            place = np.arange(int(m.sum())) - np.repeat(begin - (ends[others[fits]] - m), m)
+            own = flat[ends[x] - size[x] : ends[x]]
+            mark[own] = True
+            shared = np.add.reduceat(mark[flat[place]], begin, dtype=np.int64)
+            mark[own] = False
+            hit[fits] = config.linked(shared, size[x] + m)
+        return hit
+
+    return linked
+
+
+def _cluster_links(clusters: DataFrame, items: DataFrame, config: JoinConfig) -> DataFrame:
+    """``a, b``: a forest of the true links within each cluster (``node, n, root``), searched by pairs of blocks."""
+    dealt = _block_pairs(clusters, config).select("node", "tile").join(items, "node").repartition("tile").sortWithinPartitions("tile", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile, node, raw in _sorted_tiles(batches, "tile", ["node", "items"]):
             a, b = [], []
             edge = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
             for lo, hi in zip(edge[:-1], edge[1:], strict=True):
-                sets = [np.frombuffer(x, np.uint64) for x in raw[lo:hi]]
-                size = np.array([len(x) for x in sets])
-                known, flat = np.unique(np.concatenate(sets), return_inverse=True)
-                ends = np.cumsum(size)
-                mark = np.zeros(len(known), bool)
-
-                def linked(x: int, others: np.ndarray, size=size, flat=flat, ends=ends, mark=mark) -> np.ndarray:
-                    fits = np.flatnonzero(np.minimum(size[others], size[x]) >= config.needed(np.maximum(size[others], size[x])))
-                    hit = np.zeros(len(others), bool)
-                    if len(fits):
-                        m = size[others[fits]]
-                        begin = np.cumsum(m) - m
-                        place = np.arange(int(m.sum())) - np.repeat(begin - (ends[others[fits]] - m), m)
-                        own = flat[ends[x] - size[x] : ends[x]]
-                        mark[own] = True
-                        shared = np.add.reduceat(mark[flat[place]], begin, dtype=np.int64)
-                        mark[own] = False
-                        hit[fits] = config.linked(shared, size[x] + m)
-                    return hit
-
+                linked = _linker(raw[lo:hi], config)
                 for x, y in search(hi - lo, linked):
                     a.append(node[lo + x])
                     b.append(node[lo + y])
@@ -380,8 +391,9 @@ def _keyed(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col).isNull(), id_col, text_col)
 
 
-def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]:
-    """``id, key, n, node`` of each row of ``id, key, text``, and ``node, root, rep``: the component of each node, and its smallest id.
+def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``id, key, n, node`` of each row of ``id, key, text``, and ``node, root, rep``: the component of each node, and its smallest id;
+    ``node, items``: the sets of all nodes that may be linked.
 
     A node is read from the row with its smallest key, so that nodes whose rows all have null ids (``rep`` null) are linked, too.
     """
@@ -398,7 +410,7 @@ def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]
     items = materialize(_with_items(docs, wanted, config).select("node", "items"), "join-items")
     roots = connected_components(_exact(likely, items, config).unionByName(_cluster_links(clusters, items, config)))
     placed = materialize(names.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "join-placed")
-    return sets.select("id", "key", "n", "node"), placed
+    return sets.select("id", "key", "n", "node"), placed, items
 
 
 def similar_texts(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -411,7 +423,7 @@ def similar_texts(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: st
     component unless linked with others. Other columns are ignored; an empty table gives an empty one.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _keyed(id_col, text_col).alias("key"))
-    sets, placed = _classes(docs, config)
+    sets, placed, _ = _classes(docs, config)
     smallest = placed.groupBy("root").agg(F.min("rep").alias("component"))
     classes = placed.join(smallest, "root").select("node", "component")
     found = sets.select("id", "n", "node").join(classes, "node", "left")
@@ -424,10 +436,42 @@ def keep_one(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "
     Texts without a word are linked with nothing; their rows stay, repeated ones with an id once.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _keyed(id_col, text_col).alias("key"))
-    sets, placed = _classes(texts, config)
+    sets, placed, _ = _classes(texts, config)
     best = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "key")).alias("best")
     first = sets.filter("node IS NOT NULL").join(placed.select("node", "root"), "node").groupBy("root").agg(best).select("best.key")
     first = first.withColumn("once", F.lit(True)).unionByName(sets.filter("node IS NULL").select("key", F.col("id").isNotNull().alias("once")).distinct())
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _keyed(id_col, text_col).alias("key")).join(first, "key")
     kept = kept.filter("once").dropDuplicates(["key"]).unionByName(kept.filter("NOT once"))
     return kept.select("row.*")
+
+
+def count_links(docs: DataFrame, config: JoinConfig = JoinConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, n_links``, one row per input row: with how many other rows its text is linked, by threshold, not by reach.
+
+    Every pair of a component is compared exactly, none is left out, so time grows with the square of a component's distinct
+    sets; tiles hold two blocks of bounded size, and what is put out is one sum per node and tile.
+    """
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _keyed(id_col, text_col).alias("key"))
+    sets, placed, items = _classes(docs, config)
+    copies = sets.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    dealt = _block_pairs(placed.select("node", "root").join(copies, "node"), config).select("node", "copies", "side", "tile")
+    dealt = dealt.withColumn("side", F.coalesce("side", F.lit(-1).cast("long"))).join(items, "node").repartition("tile").sortWithinPartitions("tile", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, node, copied, side, raw in _sorted_tiles(batches, "tile", ["node", "copies", "side", "items"]):
+            total = np.zeros(len(node), np.int64)
+            edge = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                linked, own, far = _linker(raw[lo:hi], config), copied[lo:hi], np.flatnonzero(side[lo:hi] == 1)
+                for x in range(hi - lo):
+                    if side[lo + x] == 1:
+                        continue
+                    others = np.arange(x + 1, hi - lo) if side[lo + x] < 0 else far
+                    others = others[linked(x, others)]
+                    total[lo + x] += own[others].sum()
+                    total[lo + others] += own[x]
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(total, pa.int64())], ["node", "more"])
+
+    more = dealt.mapInArrow(run, "node long, more long").groupBy("node").agg(F.sum("more").alias("more"))
+    counts = copies.join(more, "node", "left").select("node", (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return sets.select("id", "node").join(counts, "node", "left").select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))

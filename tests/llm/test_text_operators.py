@@ -166,6 +166,16 @@ def test_shingle_join_edges(spark):
     assert shinglejoin.similar_texts(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("config", [shinglejoin.JoinConfig(), shinglejoin.JoinConfig(small_tile=2, block_items=1500, common_from=2)])
+def test_shingle_join_counts_every_link(spark, config):
+    rows = near_copies() + [(98, "a b"), (None, "a b")]
+    sets = [frozenset(zip(*[(t or "").lower().split()[k:] for k in range(5)], strict=False)) or frozenset([tuple((t or "").lower().split())] if (t or "").split() else []) for _, t in rows]
+    linked = lambda a, b: len(a & b) > 0 and 100 * len(a & b) >= 80 * len(a | b)
+    wanted = {i: sum(linked(a, b) for j, b in enumerate(sets) if j != k) for k, ((i, _), a) in enumerate(zip(rows, sets, strict=True))}
+    assert {r["doc_id"]: r["n_links"] for r in shinglejoin.count_links(frame(spark, rows), config).collect()} == wanted
+    assert sum(wanted.values()) > 2 * len(rows)
+
+
 def test_null_and_repeated_ids_are_linked_and_kept_once(spark):
     words = [f"w{k}" for k in range(60)]
     chain = [" ".join(words[k : k + 54]) for k in (0, 3, 6)]  # neighbours are linked, the ends are not
