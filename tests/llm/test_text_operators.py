@@ -152,7 +152,7 @@ def near_copies():
     return rows + [(90, None), (91, ""), (92, " \n\t"), (93, "a b"), (94, "A  B"), (95, "a b c d e"), (96, " ".join(base).upper()), (97, " ".join(base))]
 
 
-@pytest.mark.parametrize("config", [shinglejoin.JoinConfig(), shinglejoin.JoinConfig(small_tile=2, block_items=1500, common_from=2)])
+@pytest.mark.parametrize("config", [shinglejoin.JoinConfig(), shinglejoin.JoinConfig(small_tile=2, block_items=1500), shinglejoin.JoinConfig(bucket_bits=8, hot_from=20, hot_times=1, salts=3, small_tile=2, block_rows=7)])
 def test_shingle_join(spark, config):
     rows = near_copies()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shinglejoin.similar_texts(frame(spark, rows), config).collect()}
@@ -166,7 +166,7 @@ def test_shingle_join_edges(spark):
     assert shinglejoin.similar_texts(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("config", [shinglejoin.JoinConfig(), shinglejoin.JoinConfig(small_tile=2, block_items=1500, common_from=2)])
+@pytest.mark.parametrize("config", [shinglejoin.JoinConfig(small_tile=2, block_items=1500)])
 def test_shingle_join_counts_every_link(spark, config):
     rows = near_copies() + [(98, "a b"), (None, "a b")]
     sets = [frozenset(zip(*[(t or "").lower().split()[k:] for k in range(5)], strict=False)) or frozenset([tuple((t or "").lower().split())] if (t or "").split() else []) for _, t in rows]
