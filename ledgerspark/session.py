@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -28,11 +29,15 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where the cluster names none (tests) one of our own is made."""
+    """The folder all executors share. Only where there is none in local mode (tests) one of our own is made, and removed at exit."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
     folder = tempfile.mkdtemp(prefix="ledgerspark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -45,7 +50,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.materialized_at = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of materialized frames that nothing reads any more; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "materialized_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def ship_package(spark: SparkSession) -> None:
