@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.session import materialize
+from ledgerspark.session import discard, materialize
 
 
 def connected_components(edges: DataFrame, left: str = "a", right: str = "b", most_rounds: int = 60) -> DataFrame:
     """``node, root`` for every node of an edge list of longs; root is the smallest node of the component.
 
     Loops, nulls and repeated edges are ignored. Each round hangs larger neighbours, then smaller ones, on the
-    smallest node seen; rounds needed grow as the logarithm of the longest chain. Every round is written to
-    shared storage, so a lost executor never replays earlier rounds.
+    smallest node seen; rounds needed grow as the logarithm of the longest chain (an error after ``most_rounds``). Every
+    round is written to shared storage, so a lost executor never replays earlier rounds; files of rounds that are done with
+    go. The least neighbours are written, too: then a node with very many neighbours is a skewed join that Spark can split.
     """
     a, b = F.col(left).cast("long"), F.col(right).cast("long")
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct()
@@ -21,12 +22,13 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b", mo
     state = _state(e)
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        smallest = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct(), "small-star")
+        before, e = e, materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct(), "small-star")
+        discard(before, smallest, large)
         after = _state(e)
         if after == state:
             break

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from ledgerspark.llm.arrow import append, pick
 from ledgerspark.llm.bytescan import LOWER, SPACED, Chunk, Words, chunks, find_words, mix, word_hashes
 from ledgerspark.llm.components import connected_components
-from ledgerspark.session import materialize, ship_package
+from ledgerspark.session import discard, materialize, ship_package
 
 
 @dataclass(frozen=True)
@@ -434,7 +434,7 @@ def _merged(classes: DataFrame, links: DataFrame, label: str) -> DataFrame:
     """``classes`` (``node, root``) after links between roots. Nothing is joined where no link was found."""
     links = materialize(links.distinct(), f"{label}-links")
     if links.isEmpty():
-        return classes
+        return materialize(classes, label)
     roots = connected_components(links).select(F.col("node").alias("root"), F.col("root").alias("least"))
     return materialize(classes.join(roots, "root", "left").select("node", F.coalesce("least", "root").alias("root")), f"{label}-merged")
 
@@ -450,11 +450,13 @@ def _clusters(tiles: DataFrame, nodes: DataFrame, config: JoinConfig) -> DataFra
     several = materialize(large.filter("block > 0").select("group").distinct(), "join-several")
     if several.isEmpty():
         return classes
-    rows = large.join(several, "group", "left_semi").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    alone = rows.select("node", "root").distinct().join(classes.select("node"), "node", "left_anti")
-    classes = materialize(classes.unionByName(alone), "join-clusters")
-    second = _rest(rows, config).join(bits, "node")
-    return _merged(classes, _edges(second, _read_tiles, _bit_linker(config), True), "join-tiles")
+    rows = large.join(several, "group", "left_semi").join(classes, "node", "left")
+    rows = materialize(rows.withColumn("known", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "node")), "join-wide")
+    alone = rows.filter("NOT known").select("node", "root").distinct()
+    second = _rest(rows.drop("known"), config).join(bits, "node")
+    merged = _merged(classes.unionByName(alone), _edges(second, _read_tiles, _bit_linker(config), True), "join-wide")
+    discard(several, rows)
+    return merged
 
 
 def _read_texts(config: JoinConfig, *more: str) -> Callable[[pa.RecordBatch], list[np.ndarray]]:
@@ -523,13 +525,13 @@ def _links(clusters: DataFrame, texts: DataFrame, config: JoinConfig) -> DataFra
     wide = cut.filter("blocks > 1").select(F.col("root").alias("group"), _block(0).alias("block"), "node", "key")
     if wide.isEmpty():
         return classes
-    rows = wide.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    alone = rows.select("node", "root").join(classes.select("node"), "node", "left_anti")
-    classes = materialize(classes.unionByName(alone), "join-found")
-    left = materialize(_rest(rows, config), "join-rest")
+    rows = wide.join(classes, "node", "left")
+    rows = materialize(rows.withColumn("known", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "node")), "join-wide")
+    alone = rows.filter("NOT known").select("node", "root")
+    left = materialize(_rest(rows.drop("known"), config), "join-rest")
     if left.isEmpty():
-        return classes
-    return _merged(classes, _edges(left.join(texts, "key").drop("key"), _read_texts(config), _linker(config), True), "join-found")
+        return classes.unionByName(alone)
+    return _merged(classes.unionByName(alone), _edges(left.join(texts, "key").drop("key"), _read_texts(config), _linker(config), True), "join-found")
 
 
 def _keyed(id_col: str, text_col: str):
@@ -551,9 +553,11 @@ def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]
     one = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("n", "bits", "head", "cold")])
     one = materialize(one, "join-nodes")
     tiles = materialize(_tiles(one, config), "join-tiles")
-    clusters = _clusters(tiles, one, config).join(one.select("node", "key", "n"), "node")
-    roots = _links(clusters, _texts(docs), config)
+    clusters = _clusters(tiles, one, config)
+    discard(tiles)
+    roots = _links(clusters.join(one.select("node", "key", "n"), "node"), _texts(docs), config)
     placed = materialize(one.select("node", "key", "rep").join(roots, "node", "left").select("node", "key", "rep", F.coalesce("root", "node").alias("root")), "join-placed")
+    discard(one, clusters)
     return sets.select("id", "key", "n", "node"), placed
 
 
