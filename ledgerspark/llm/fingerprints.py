@@ -12,9 +12,13 @@ and samples taken where the text lies, with no further shuffle of either.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.session import materialize
+
 SAMPLES = 48
 #: Samples taken per row and pass: few enough that generated methods stay small and are compiled.
 TOGETHER = 4
@@ -33,8 +37,8 @@ def _uniform(h: Column, part: int) -> Column:
     return (F.shiftright(h, 21 * part).bitwiseAND(F.lit((1 << 21) - 1)) + F.lit(0.5)) / F.lit(float(1 << 21))
 
 
-def _samples(term: Column, weights: list[Column], k: Column) -> list[Column]:
-    """For each weight of a word a long: ln a in the high bits, the mark of (word, t) in the low ones; NONE without weight.
+def _samples(term: Column, logs: list[Column], k: Column) -> list[Column]:
+    """For each logarithm of a word's weight (-1: without weight) a long: ln a in the high bits, the mark of (word, t) in the low ones; NONE without weight.
 
     No branch guards the arithmetic, so that generated code shares r, c and b between the weights.
     """
@@ -43,12 +47,12 @@ def _samples(term: Column, weights: list[Column], k: Column) -> list[Column]:
     ln_c = F.ln(-F.ln(_uniform(g, 0) * _uniform(g, 1)))
     b = _uniform(h, 2)
     out = []
-    for w in weights:
-        t = F.floor(F.ln(F.greatest(w, F.lit(1)).cast("double")) / r + b)
+    for w in logs:
+        t = F.floor(w / r + b)
         ln_a = ln_c - r * (t - b) - r
         mark = term.bitwiseXOR(t * F.lit(0x9E3779B1)).bitwiseAND(F.lit(_MARK))
         sample = F.shiftleft(F.floor(ln_a * F.lit(float(1 << 20))), _MARK_BITS).bitwiseOR(mark)
-        out.append(F.greatest(sample, F.when(w > 0, F.lit(-NONE)).otherwise(F.lit(NONE))))
+        out.append(F.greatest(sample, F.when(w >= 0, F.lit(-NONE)).otherwise(F.lit(NONE))))
     return out
 
 
@@ -61,7 +65,7 @@ def fingerprint(texts: DataFrame, keys: list[str], text_cols: list[str], samples
     words = texts.select(*keys, bodies).select(*keys, "which", F.explode(F.split("body", r"[\x20\x09-\x0D]+")).alias("word"))
     hashed = words.select(*keys, "which", F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
     counts = hashed.groupBy(*keys, "term").agg(*[F.sum(F.when(F.col("which") == i, 1).otherwise(0)).alias(f"w{i}") for i in range(len(text_cols))])
-    known = [F.when(F.col("term").isNull(), 0).otherwise(F.col(f"w{i}")) for i in range(len(text_cols))]
+    known = [F.when(F.col("term").isNull() | (F.col(f"w{i}") == 0), F.lit(-1.0)).otherwise(F.ln(F.col(f"w{i}").cast("double"))) for i in range(len(text_cols))]
     counted = counts.select(*keys, "term", *[w.alias(f"w{i}") for i, w in enumerate(known)])
     n = len(text_cols)
     split = counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples // TOGETHER - 1))).alias("part"))
@@ -83,28 +87,44 @@ def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda x: F.lower(F.lpad(F.hex(x), 9, "0"))), "")
 
 
+def _range_of(key: Column, splitters: Column, count: int) -> Column:
+    """Number of the range that a key is in, by binary search: how many of the ``count`` sorted splitters are not over it."""
+    steps = [1 << k for k in range(max(1, count).bit_length() - 1, -1, -1)]
+    reach = lambda at, step: (at + step <= count) & (F.get(splitters, (at + step - 1).cast("int")) <= key)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(reach(at, step), at + step).otherwise(at))
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``range, place, id, text, next_id, next_text, extra``: rows with the one after them, by descending id.
 
-    The row after the last is the first. Null ids come last; ties are ordered by text. Ids are dealt out in ranges
-    of equal width; the first row of each range is also put, as ``extra``, at the end of the range before it.
-    Partitioned by ``range``; ``place`` numbers rows within it.
+    The row after the last is the first. Null ids come last; ties are ordered by a hash of the text, then by the text. Ids
+    that are not whole numbers are ordered as strings. Rows are dealt out in ranges of about equal numbers of rows: Spark's
+    range partitioner, on ids and hashes alone, gives the splitters, so that neither far ids nor many texts of one id (or of
+    none) make a range large; equal rows stay together. The first row of each range is also put, as ``extra``, at the end of
+    the range before it. Partitioned by ``range``; ``place`` numbers rows within it.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    low, high, n = rows.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
+    whole = dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint")
+    kind = "bigint" if whole else "string"
+    ident, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    key = F.struct(ident.isNotNull().cast("int").alias("k"), F.coalesce(ident.cast(kind), F.lit(0).cast(kind)).alias("i"), F.xxhash64(text).alias("h"))
+    keys = docs.select(key.alias("key"))
+    n = keys.count()
     ranges = max(1, min(MOST_RANGES, -(-n // ROWS_PER_RANGE)))
-    width = float(max(1, -(-(high - low + 1) // ranges)))
-    where = F.coalesce(F.floor((F.col("id").cast("double") - F.lit(float(low))) / F.lit(width)), F.lit(-1)).cast("long")
-    rows = rows.withColumn("range", where)
-    tops = rows.groupBy("range").agg(F.max("id").alias("top"))
+    found = keys.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key")).select("key.*").collect()
+    cuts = sorted((r["k"], r["i"], r["h"]) for r in found)[1:]
+    if kind == "string":
+        cuts.sort(key=lambda c: (c[0], c[1].encode(), c[2]))
+    known = F.from_json(F.lit(json.dumps([{"k": k, "i": i, "h": h} for k, i, h in cuts])), f"array<struct<k:int,i:{kind},h:bigint>>")
+    rows = docs.select(ident.alias("id"), text.alias("text"), key.alias("key")).withColumn("range", _range_of(F.col("key"), known, len(cuts)).cast("long"))
+    tops = materialize(rows.groupBy("range").agg(F.max("key").alias("top")), "fingerprint-tops")
     down = Window.orderBy(F.desc("range"))
-    ends = tops.select("top", "range", F.coalesce(F.lag("range").over(down), F.min("range").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("into"))
-    ends = ends.select(F.col("top").alias("top"), F.col("range").alias("own"), "into")
-    firsts = rows.join(F.broadcast(ends), F.col("id").eqNullSafe(F.col("top")) & (F.col("range") == F.col("own")))
-    dealt = rows.withColumn("extra", F.lit(False)).unionByName(firsts.select("id", "text", F.col("into").alias("range"), F.lit(True).alias("extra")))
-    dealt = dealt.repartition(max(1, -(-n // ROWS_PER_PARTITION)), "range")
-    order = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("id"), "text")
+    into = F.coalesce(F.lag("range").over(down), F.min("range").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    ends = tops.select("top", F.col("range").alias("own"), into.alias("into"))
+    firsts = rows.join(F.broadcast(ends), (F.col("key") == F.col("top")) & (F.col("range") == F.col("own")))
+    firsts = firsts.groupBy("into").agg(F.min(F.struct("text", "id")).alias("r")).select(F.col("r.id").alias("id"), F.col("r.text").alias("text"), F.col("into").alias("range"), F.lit(True).alias("extra"))
+    dealt = rows.select("id", "text", "range", F.lit(False).alias("extra")).unionByName(firsts)
+    dealt = dealt.repartition(max(1, min(ranges, -(-n // ROWS_PER_PARTITION))), "range")
+    order = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last(F.col("id").cast(kind)), F.desc(F.xxhash64("text")), "text")
     return dealt.select("range", F.row_number().over(order).alias("place"), "id", "text", F.lead("id").over(order).alias("next_id"), F.lead("text").over(order).alias("next_text"), "extra")
 
 
@@ -118,7 +138,8 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """``id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, a row per row.
 
     A null text is an empty one; a text without words has a fingerprint of empty marks ('') and is like
-    another such only. Equal texts have equal fingerprints. Rows with a null id are kept, last in order.
+    another such only. Equal texts have equal fingerprints. Rows with a null id are kept, last in order; order, ties and
+    repeated rows as in ``with_next``.
     Other columns are ignored; an empty table gives an empty one.
     """
     ordered = with_next(docs, id_col, text_col).withColumn("edited", edit(F.col("text"), F.col("next_text")))

@@ -31,11 +31,13 @@ _FOLD[0x30:0x3A] = 0x30
 
 @dataclass(frozen=True)
 class LangidConfig:
-    """Bounds of the fit: at most about ``rows_per_language`` texts of at most ``max_chars`` for each language."""
+    """Bounds of the fit: about ``rows_per_language`` texts for each language, of each a stretch of at most ``max_chars``, and
+    ``total_chars`` in all, shared among all languages: with many of them stretches become shorter, then rows fewer."""
 
     rows_per_language: int = 500
     max_chars: int = 20_000
-    max_languages: int = 64
+    least_chars: int = 500
+    total_chars: int = 40_000_000
     bits: int = 16
     dim: int = 16
     epochs: int = 6
@@ -143,14 +145,22 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def sample_labelled(docs: DataFrame, usable: Column, config: LangidConfig = LangidConfig(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str]]:
-    """Texts and languages to learn from: of each language a share of its usable rows, by a hash of the id."""
-    rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= config.max_chars))
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(config.max_languages).collect()
+    """Texts and languages to learn from: of each language a share of its usable rows, by a hash of id and text.
+
+    Every value of ``lang_col`` is learned. Of a text over the bound a stretch is taken, at a place by the same hash.
+    """
+    text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
+    rows = docs.filter(usable & lang.isNotNull() & text.isNotNull()).select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("h"))
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return [], []
-    place = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int((1 << 30) * min(1.0, config.rows_per_language / r[1])))])
-    got = rows.filter(place < share[F.col(lang_col)]).select(text_col, lang_col).orderBy(place).limit(2 * config.rows_per_language * len(counts)).collect()
+    chars = max(config.least_chars, min(config.max_chars, config.total_chars // (config.rows_per_language * len(counts))))
+    wanted = max(1, min(config.rows_per_language, config.total_chars // (chars * len(counts))))
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int((1 << 30) * min(1.0, wanted / r[1])) + 1)])
+    place = F.pmod("h", F.lit(1 << 30))
+    spare = F.greatest(F.length("text") - chars, F.lit(0))
+    stretch = F.substring("text", F.pmod(F.shiftright("h", 30), spare + 1).cast("int") + 1, F.lit(chars))
+    got = rows.filter(place < share[F.col("lang")]).orderBy(place, "h").limit(2 * wanted * len(counts) + 64).select(stretch, "lang").collect()
     return [r[0] for r in got], [r[1] for r in got]
 
 

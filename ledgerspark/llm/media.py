@@ -475,13 +475,13 @@ def media_columns(docs: DataFrame, text_col: str = "text", tensors: bool = True)
     """``docs`` with what storing each text as a progressive JPEG gives (input columns of these names are replaced).
 
     ``n_bytes, payload_bytes long, payload_sha256 string, tail_crc32 long`` (of the payload read back from the
-    stored bytes), ``media_bytes long, media_sha256, feature string``, and with ``tensors`` also ``media binary,
-    rgb binary, height, width long`` (row-major height x width x 3). A null text is an empty one, whose payload is
+    stored bytes), ``media_bytes long, media_sha256, feature string``, of the decoded tensor ``height, width long, rgb_sha256
+    string`` (of its bytes, row-major height x width x 3), and with ``tensors`` also ``media binary, rgb binary``. A null text is an empty one, whose payload is
     64 zeros. Equal texts get equal values. A text is one image, so up to about 6 GB.
     """
-    kinds = [("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
+    kinds = [("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType()), ("height", T.LongType()), ("width", T.LongType()), ("rgb_sha256", T.StringType())]
     if tensors:
-        kinds += [("media", T.BinaryType()), ("rgb", T.BinaryType()), ("height", T.LongType()), ("width", T.LongType())]
+        kinds += [("media", T.BinaryType()), ("rgb", T.BinaryType())]
 
     def compute(batch: pa.RecordBatch) -> list:
         out: list[list] = [[] for _ in kinds]
@@ -490,9 +490,9 @@ def media_columns(docs: DataFrame, text_col: str = "text", tensors: bool = True)
             media = store(padded(text))
             image = read(media)
             payload = payload_of(image)
-            row = [len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), feature(image.rgb)]
+            row = [len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), feature(image.rgb), image.height, image.width, hashlib.sha256(image.rgb).hexdigest()]
             if tensors:
-                row += [media, image.rgb.tobytes(), image.height, image.width]
+                row += [media, image.rgb.tobytes()]
             for column, x in zip(out, row, strict=True):
                 column.append(x)
         return out

@@ -34,7 +34,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most:
 
     Weights repeat over the sources in code point order, null last. Sources are filled in the order of the
     level at which they are full, so the excess of the full ones is shared by the others in one pass of
-    window sums over one row per source.
+    window sums over one row per source (in one task: sources are taken to number millions at most).
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_level = Window.orderBy("full_at", "rank")
@@ -53,7 +53,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most:
 
 def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """The sizes ``doc_id, source, size, h`` of all rows, and ``s, source_size, target, whole, threshold`` per source."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h"))
+    ident, source = F.col(f"`{id_col}`"), F.col(f"`{source_col}`")
+    narrow = docs.select(ident.alias("doc_id"), source.alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"), id_hash(ident).alias("h"))
     sized = materialize(narrow, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most)
@@ -63,7 +64,8 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float
     edge = materialize(edge, "mix-plan")
     for level in range(LEVELS):
         edge = materialize(_refine(sized, edge, level), f"mix-level{level}")
-    return sized, edge.select(F.col("source").alias("s"), "source_size", "target", "whole", (F.col("prefix") + F.col("over").cast("long")).alias("threshold"))
+    threshold = F.when(F.col("target") > F.col("whole") * F.col("source_size"), F.col("prefix") + F.col("over").cast("long")).otherwise(F.lit(0))
+    return sized, edge.select(F.col("source").alias("s"), "source_size", "target", "whole", threshold.cast("long").alias("threshold"))
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -71,7 +73,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: flo
 
     ``copies`` is how often the mix takes the document, ``taken = copies * size``. A null text has size 0, a
     null source is a source of its own, a null id hashes like an empty one. Rows with equal ids are taken
-    alike. A source without words has target 0 and takes nothing. Other columns are ignored; an empty table
+    alike. A source whose target is a whole number of copies takes just those, of empty texts, too. A source without words has target 0 and takes nothing. Other columns are ignored; an empty table
     gives an empty one. A source's taken words miss its target by half of one document (all rows of one id) at most.
     """
     sized, plan = mix_plan(docs, weights, most, id_col, text_col, source_col)
@@ -81,12 +83,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: flo
 
 
 def take_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it takes it. Only the plan meets the texts."""
+    """The rows of ``docs`` that the mix takes, each as often as it takes it, at most ``most`` times. Only the plan meets the texts.
+
+    Nulls, ties and repeated rows as in ``mix_sources``; all columns are kept as they are, whatever their names.
+    """
     _, plan = mix_plan(docs, weights, most, id_col, text_col, source_col)
-    plan = plan.select(F.struct("s", "whole", "threshold").alias("__plan"))
-    copies = F.col("__plan.whole") + (id_hash(F.col(id_col)) < F.col("__plan.threshold")).cast("long")
-    joined = docs.join(plan, F.col(source_col).eqNullSafe(F.col("__plan.s"))).withColumn("__copies", copies.cast("int")).filter("__copies > 0")
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    plan = plan.select(F.struct("s", "whole", "threshold").alias("plan"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    copies = F.col("plan.whole") + (id_hash(F.col(f"row.`{id_col}`")) < F.col("plan.threshold")).cast("long")
+    joined = rows.join(plan, F.col(f"row.`{source_col}`").eqNullSafe(F.col("plan.s"))).withColumn("copies", copies.cast("int")).filter("copies > 0")
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def _refine(sized: DataFrame, edge: DataFrame, level: int) -> DataFrame:

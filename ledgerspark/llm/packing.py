@@ -3,21 +3,23 @@
 Pieces (documents, cut where they exceed the greatest length) are dealt out by hash to shards of bounded
 size, and each shard is packed by itself: longest piece first, into the open bin with the least room that
 still suffices. If none does, a bin is opened, of the size whose cost per token is least among those that a
-policy permits. Every policy (a greatest size to open) is tried and the cheapest packing is kept, where a
-bin finally counts at the least permitted size that holds its contents.
+policy permits. The lengths are chosen jointly: every set of lengths that may be opened (with the greatest
+among them), by least cost per token or by the tightest fit, is a policy, and what each has packed is improved by joining bins wherever one permitted length holds two of
+them at less cost. The cheapest packing is kept, in which a bin counts at the least permitted size that holds its contents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.mixing import word_count
-from ledgerspark.session import ship_package
+from ledgerspark.session import materialize, ship_package
 
 
 @dataclass(frozen=True)
@@ -33,14 +35,14 @@ class PackConfig:
         return self.fixed + n + n * n / self.quadratic
 
 
-def best_fit(sizes: Sequence[int], config: PackConfig, most: int) -> tuple[list[int], list[int], list[int]]:
-    """Bin and offset of each piece (sizes in falling order), and what each bin holds; no bin over ``most`` unless needed."""
-    permitted = sorted(config.lengths)
-    open_size = [0] * (permitted[-1] + 1)
-    for need in range(1, permitted[-1] + 1):
-        fitting = [c for c in permitted if c >= need]
-        allowed = [c for c in fitting if c <= most] or fitting[:1]
-        open_size[need] = min(allowed, key=lambda c: (config.cost(c) / c, c))
+def best_fit(sizes: Sequence[int], config: PackConfig, opened: Sequence[int], tight: bool = False) -> tuple[list[int], list[int], list[int]]:
+    """Bin and offset of each piece (sizes in falling order), and what each bin holds.
+
+    Bins are opened at the length of ``opened`` whose full bin costs least per token; ``tight``: at the least that holds the piece.
+    """
+    open_size = [0] * (max(opened) + 1)
+    for need in range(1, max(opened) + 1):
+        open_size[need] = min((c for c in opened if c >= need), key=lambda c: (0 if tight else config.cost(c) / c, c))
     room: dict[int, list[int]] = {}
     mask = 0  # bit r: some bin has r tokens of room
     held: list[int] = []
@@ -69,16 +71,75 @@ def downsize(held: int, config: PackConfig) -> int:
     return min(c for c in config.lengths if c >= held)
 
 
+def joined(held: Sequence[int], config: PackConfig) -> list[int]:
+    """The bin that each bin ends up in, after joining pairs of bins while one permitted length holds both at less cost.
+
+    For each bin in falling order of contents and each permitted length the fullest bin that still fits beside it is looked up.
+    """
+    best = list(range(len(held)))
+    own = [[k] for k in best]
+    now = list(held)
+    by_size: dict[int, list[int]] = {}
+    mask = 0
+    for k, h in enumerate(now):
+        by_size.setdefault(h, []).append(k)
+        mask |= 1 << h
+    cost = {h: config.cost(downsize(h, config)) for h in range(max(config.lengths) + 1)}
+
+    def forget(k: int) -> None:
+        nonlocal mask
+        by_size[now[k]].remove(k)
+        if not by_size[now[k]]:
+            mask ^= 1 << now[k]
+
+    for k in sorted(best, key=lambda k: -now[k]):
+        while own[k]:
+            gains = []
+            for c in config.lengths:
+                room = c - now[k]
+                below = mask & ((1 << room + 1) - 1) if room > 0 else 0
+                if below:
+                    h = below.bit_length() - 1
+                    other = next((x for x in reversed(by_size[h]) if x != k), None)
+                    if other is not None:
+                        gains.append((cost[now[k]] + cost[h] - config.cost(c), -c, other))
+            if not gains or max(gains)[0] <= 1e-9:
+                break
+            other = max(gains)[2]
+            forget(k)
+            forget(other)
+            own[k] += own[other]
+            own[other] = []
+            now[k] += now[other]
+            by_size.setdefault(now[k], []).append(k)
+            mask |= 1 << now[k]
+    for k, members in enumerate(own):
+        for x in members:
+            best[x] = k
+    return best
+
+
 def pack_sizes(sizes: Sequence[int], config: PackConfig) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of each piece, and the final size of each bin, by the cheapest policy."""
-    best = None
-    for most in sorted(config.lengths):
-        bins, offsets, held = best_fit(sizes, config, most)
-        final = [downsize(h, config) for h in held]
-        cost = sum(map(config.cost, final))
-        if best is None or cost < best[0]:
-            best = cost, bins, offsets, final
-    return best[1], best[2], best[3]
+    *lower, greatest = sorted(config.lengths)
+    cheapest = None
+    for tight, *chosen in product((False, True), repeat=len(lower) + 1):
+        bins, _, held = best_fit(sizes, config, [*[c for c, x in zip(lower, chosen, strict=True) if not x], greatest], tight)
+        into = joined(held, config)
+        total = [0] * len(held)
+        for k, h in enumerate(held):
+            total[into[k]] += h
+        cost = sum(config.cost(downsize(h, config)) for h in total if h)
+        if cheapest is None or cost < cheapest[0] - 1e-9:
+            cheapest = cost, [into[b] for b in bins], total
+    _, bins, total = cheapest
+    names: dict[int, int] = {}
+    filled, offsets = [0] * len(total), []
+    for b, size in zip(bins, sizes, strict=True):
+        names.setdefault(b, len(names))
+        offsets.append(filled[b])
+        filled[b] += size
+    return [names[b] for b in bins], offsets, [downsize(total[b], config) for b in names]
 
 
 def pack(docs: DataFrame, config: PackConfig = PackConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,17 +148,23 @@ def pack(docs: DataFrame, config: PackConfig = PackConfig(), id_col: str = "doc_
     Tokens are words (``[^\\x20\\x09-\\x0D]+``). A document over the greatest length is cut there into pieces, numbered
     from 0; ``start`` is a piece's first word. Each piece is in one bin, which is not filled over its capacity,
     a permitted length. A null, empty or wordless text is one piece of length 0 in no bin (nulls). Repeated rows are
-    packed each. Other columns are ignored; an empty table gives an empty one. Reruns agree.
+    packed each; a null id is an id like any. Other columns are ignored; an empty table gives an empty one. Reruns agree.
+
+    Rows of one id and size differ in nothing that is put out. They are counted before the shuffle and numbered after it, and
+    the number goes into the shard's hash, so that many rows of one id (or none) spread over all shards.
     """
     ship_package(docs.sparkSession)
     greatest = max(config.lengths)
-    sized = docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"))
+    sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), word_count(F.col(f"`{text_col}`")).alias("size"))
+    sized = materialize(sized.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("rows")), "pack-sizes")
+    n = sized.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    sized = sized.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     number = F.posexplode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(greatest).cast("long")))
-    pieces = sized.select("doc_id", "size", number.alias("piece", "start"))
-    pieces = pieces.select("doc_id", F.col("piece").cast("long").alias("piece"), "start", F.least(F.col("size") - F.col("start"), F.lit(greatest)).cast("long").alias("length"))
-    n = sized.count()
+    pieces = sized.select("doc_id", "size", "copy", number.alias("piece", "start"))
+    pieces = pieces.select("doc_id", "copy", F.col("piece").cast("long").alias("piece"), "start", F.least(F.col("size") - F.col("start"), F.lit(greatest)).cast("long").alias("length"))
     shards = max(1, -(-n // config.rows_per_shard))
-    dealt = pieces.withColumn("shard", F.when(F.col("length") == 0, -1 - F.pmod(F.xxhash64("doc_id"), F.lit(shards))).otherwise(F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))).cast("long"))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "copy"), F.lit(shards)).cast("long")
+    dealt = pieces.withColumn("shard", F.when(F.col("length") == 0, -1 - shard).otherwise(shard)).drop("copy")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)

@@ -56,7 +56,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, langs = langid.sample_labelled(docs, ~held_out(), config)
     model = langid.fit(texts, langs, config)
     found = langid.predict(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = toxicity.ToxicityConfig()
     texts, toxic = toxicity.sample_labelled(docs, table(spark, sf_dir, "labels"), ~held_out(), config)
     scored = toxicity.score(docs, toxicity.fit(texts, toxic, config))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"), spans.alias("span_offsets"))
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:

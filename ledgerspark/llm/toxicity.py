@@ -158,9 +158,32 @@ def document_odds(marginal: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[str], toxic: list[int], config: ToxicityConfig = ToxicityConfig()) -> ToxicityModel:
-    """Train on labelled texts; without toxic ones the model scores every text low."""
-    model = ToxicityModel(np.zeros(1 << config.bits, np.float32), max_chain=config.max_chain)
+    """Train on labelled texts; without toxic ones the model scores every text low.
+
+    The document score is calibrated on a fifth of the texts, chosen by the seed, with a field trained on the others; the
+    field that is returned is trained on all. Where the fifth lacks a label, all texts calibrate.
+    """
     y = np.array(toxic, dtype=bool)
+    held = np.random.default_rng(config.seed).permutation(len(texts))[: len(texts) // 5]
+    model = _train(texts, y, config)
+    trial = model
+    if not y.any():
+        return model
+    if 0 < y[held].sum() < len(held):
+        rest = np.setdiff1d(np.arange(len(texts)), held)
+        trial = _train([texts[k] for k in rest], y[rest], config)
+    else:
+        held = np.arange(len(texts))
+    feats, rows, bounds = _tokens([texts[k] for k in held], config)
+    marginal, _ = forward_backward(trial.weights[feats].sum(1, dtype=np.float64) + trial.bias, bounds, trial.moves)
+    x = document_odds(marginal, np.searchsorted(rows, np.arange(len(held) + 1)))
+    model.curve = _logistic(np.clip(x, -20, 20), y[held].astype(float))
+    return model
+
+
+def _train(texts: list[str], y: np.ndarray, config: ToxicityConfig) -> ToxicityModel:
+    """The field alone, from made word labels."""
+    model = ToxicityModel(np.zeros(1 << config.bits, np.float32), max_chain=config.max_chain)
     feats, rows, bounds = _tokens(texts, config)
     if not len(feats) or not y.any():
         return model
@@ -192,9 +215,6 @@ def fit(texts: list[str], toxic: list[int], config: ToxicityConfig = ToxicityCon
             seen = np.bincount((2 * t[i - 1] + t[i]).astype(int), minlength=4).reshape(2, 2)
             moves += config.rate * (seen - expected) / max(1, len(i))
     model.weights, model.bias, model.moves = weights.astype(np.float32), float(bias), moves
-    marginal, _ = forward_backward(weights[feats].sum(1) + bias, bounds, moves)
-    x = document_odds(marginal, np.searchsorted(rows, np.arange(len(texts) + 1)))
-    model.curve = _logistic(np.clip(x, -20, 20), y.astype(float))
     return model
 
 
@@ -222,7 +242,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, usable: Column, config:
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")), F.lit(1 << 30))
     share = {1: config.toxic_rows / counts.get(1, 1), 0: config.clean_rows / counts.get(0, 1)}
     cut = F.when(F.col("toxic") == 1, int((1 << 30) * min(1.0, share[1]))).otherwise(int((1 << 30) * min(1.0, share[0])))
-    ids = rows.filter(place < cut).limit(2 * (config.toxic_rows + config.clean_rows))
+    ids = rows.filter(place < cut).orderBy(place, "doc_id", "toxic").limit(2 * (config.toxic_rows + config.clean_rows))
     short = docs.filter(F.length("text") <= config.max_chars).select("doc_id", "text")
     got = short.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").collect()
     got.sort(key=lambda r: (str(r["doc_id"]), r["text"], r["toxic"]))

@@ -108,6 +108,28 @@ def test_fingerprint_edges(spark, monkeypatch):
     assert fingerprints.fingerprint_neighbours(frame(spark, [])).count() == 0
 
 
+def test_fingerprint_ranges_are_even(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", 50)
+    rows = [(k, f"t{k}") for k in range(1000)] + [(10**15, "far"), (-(10**15), "low")] + [(7, f"same id {k}") for k in range(500)] + [(None, f"no id {k}") for k in range(500)]
+    got = fingerprints.with_next(frame(spark, rows)).filter("NOT extra").collect()
+    sizes = collections.Counter(r["range"] for r in got)
+    assert len(got) == 2002 and len(sizes) >= 20 and max(sizes.values()) <= 200
+    following = {(r["id"], r["text"]): (r["next_id"], r["next_text"]) for r in got}
+    at, seen = (10**15, "far"), []
+    for _ in rows:
+        seen.append(at)
+        at = following[at]
+    assert at == seen[0] and len(set(seen)) == 2002
+    assert [i for i, _ in seen] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0), reverse=True)
+
+
+def test_fingerprints_of_string_ids(spark):
+    df = spark.createDataFrame([("b", "x y"), ("a", "u v"), ("é", "p q"), (None, "z")], "doc_id string, text string")
+    got = {r["id"]: r["next_id"] for r in fingerprints.with_next(df).filter("NOT extra").collect()}
+    assert got == {"é": "b", "b": "a", "a": None, None: "é"}
+    assert fingerprints.fingerprint_neighbours(df).count() == 4
+
+
 def test_heavier_words_count_more(spark):
     df = spark.createDataFrame([(1, "a " * 30 + "b", "a " * 20 + "c")], "i int, x string, y string")
     r = fingerprints.fingerprint(df, ["i"], ["x", "y"], 1024).select(fingerprints.likeness(F.col("fp0"), F.col("fp1"), 1024).alias("n")).first()
@@ -280,9 +302,70 @@ def test_packing(spark):
 
 def test_best_fit_takes_the_tightest_bin():
     config = packing.PackConfig(lengths=(10,))
-    bins, offsets, held = packing.best_fit([7, 6, 4, 3], config, 10)
+    bins, offsets, held = packing.best_fit([7, 6, 4, 3], config, [10])
     assert bins == [0, 1, 1, 0] and held == [10, 10] and offsets == [0, 0, 6, 7]
     cheap = packing.PackConfig(lengths=(10, 20), fixed=0, quadratic=1.0)
     assert packing.pack_sizes([10, 10], cheap)[2] == [10, 10]
     dear = packing.PackConfig(lengths=(10, 20), fixed=1000, quadratic=1e9)
     assert packing.pack_sizes([10, 10], dear)[2] == [20]
+
+
+def least_cost(sizes, config):
+    """Over all ways of dealing pieces out to bins."""
+    best = [float("inf")]
+
+    def deal(k, bins):
+        if k == len(sizes):
+            best[0] = min(best[0], sum(config.cost(packing.downsize(b, config)) for b in bins))
+            return
+        for i in range(len(bins)):
+            if bins[i] + sizes[k] <= max(config.lengths):
+                deal(k + 1, [*bins[:i], bins[i] + sizes[k], *bins[i + 1 :]])
+        deal(k + 1, [*bins, sizes[k]])
+
+    deal(0, [])
+    return best[0]
+
+
+@pytest.mark.parametrize("config", [packing.PackConfig(), packing.PackConfig(lengths=(512, 1024, 4096), fixed=400), packing.PackConfig(lengths=(300, 700, 4096), quadratic=2000.0)])
+def test_packing_is_near_the_least_cost(config):
+    r, ratios = random.Random(9), []
+    for _ in range(60):
+        sizes = sorted((r.choice([r.randint(1, 600), r.randint(1, 2000), r.randint(1, 4096)]) for _ in range(r.randint(1, 8))), reverse=True)
+        bins, offsets, final = packing.pack_sizes(sizes, config)
+        held = collections.Counter()
+        for b, o, n in zip(bins, offsets, sizes, strict=True):
+            assert o == held[b]
+            held[b] += n
+        assert all(final[b] == packing.downsize(h, config) for b, h in held.items()) and len(held) == len(final)
+        ratios.append(sum(map(config.cost, final)) / least_cost(sizes, config))
+    assert np.mean(ratios) < 1.02 and max(ratios) < 1.2
+
+
+def test_packing_spreads_null_ids(spark):
+    rows = [(None, "w w w")] * 700 + [(None, None)] * 300 + [(None, "w " * 5000)] * 2
+    got = packing.pack(frame(spark, rows), packing.PackConfig(rows_per_shard=100)).collect()
+    shards = collections.Counter(x["bin"] >> 32 for x in got if x["length"])
+    assert sum(x["length"] for x in got) == 2100 + 10_000 and len(got) == 1004 and len(shards) >= 9 and max(shards.values()) < 130
+
+
+def test_queries_of_whole_tables(spark, documents):
+    sizes = {d: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for d, t, *_ in documents}
+    held, capacity, found = collections.Counter(), {}, collections.Counter()
+    for x in queries.op6_packing(spark, SF).collect():
+        found[x["doc_id"]] += x["length"]
+        if x["length"]:
+            held[x["bin"]] += x["length"]
+            capacity[x["bin"]] = x["capacity"]
+    assert found == sizes and all(packing.downsize(h, packing.PackConfig()) == capacity[b] for b, h in held.items())
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op3_jaccard(spark, SF).collect()}
+    assert got == plain_components([(d, t) for d, t, *_ in documents])
+
+
+def test_columns_with_dots_and_whole_copies(spark):
+    texts = [(k, "", "a") for k in range(60)] + [(100, "w w", "a"), (101, "w " * 500, "b")]
+    df = spark.createDataFrame([(*t, 1) for t in texts], "doc_id long, text string, source string, `a.b` int")
+    taken = mixing.take_mix(df)
+    assert taken.columns == df.columns
+    assert {r["count"] for r in taken.filter("source = 'a'").groupBy("doc_id").count().collect()} == {3}
+    assert shinglejoin.keep_one(df).select("`a.b`").count() == 62 and packing.pack(df).count() == 62
