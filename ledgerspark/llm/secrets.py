@@ -1,9 +1,15 @@
 """Secret scans: token runs and named values are candidates, a random forest removes the false positives.
 
-A candidate is a run of ``[A-Za-z0-9+/=_.~-]`` of some length with a digit or an assignment in it; of ``name=value``
-the value is the candidate. So is every value after a telling name (``password``, ``dbPassword``, ``api_key``) and a
-separator, of any length and of any characters but white space and quotes; closing ``.,;`` of the sentence are not
-part of it. After a space alone, the name must be the telling word itself or end in it. The forest sees its length, character transitions, coverage by dictionary words, path
+Candidates are, whatever their length where a name tells of them:
+
+* every value after a telling name (``password``, ``dbPassword``, ``api_key``) and a separator, of any length and of any characters
+  but white space and quotes; closing ``.,;`` of the sentence are not part of it. After a space alone, the name must be the
+  telling word itself or end in it;
+* every block of a private key, from its BEGIN line to its END line (or to its last line of key characters);
+* without a name, a run of ``[A-Za-z0-9+/=_.~-]`` that is not just a word: of ``RUN`` characters with a digit, ``_``, an inner
+  ``=`` or a capital after a small letter, or of ``LONG_RUN`` of any. Of ``name=value`` the value is the candidate.
+
+The forest sees a candidate's length, character transitions, coverage by dictionary words, path
 marks and the neighbouring words. It is trained from labelled findings (text, start, end, label); without any
 of one's own, from findings made by rule with a fixed seed.
 """
@@ -30,7 +36,10 @@ _CLASS = np.zeros(256, bool)
 _CLASS[[ord(c) for c in string.ascii_letters + string.digits + "+/=_.~-"]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-SHORTEST = 12
+_UPPER, _SMALL = np.zeros(256, bool), np.zeros(256, bool)
+_UPPER[65:91] = True
+_SMALL[97:123] = True
+RUN, LONG_RUN = 8, 20
 CONTEXT = 48
 
 #: Words beside which a value is likely a secret, and beside which it is not.
@@ -48,6 +57,7 @@ _TOLD = re.compile(r"(?:^|_)(?:" + "|".join(TELLING) + r")s?\d*(?:_|$)|(?:passwo
 _NAME = re.compile(("(?:" + "|".join(sorted(TELLING, key=len, reverse=True)) + ")([a-z0-9_-]*)").encode())
 _VALUE = re.compile(rb"""["'`]?[\])]?[ \t]*(?:=>|[:=]=|[=:>])[ \t]*["'`]?([^\s"'`]+)""")
 _SPACED_VALUE = re.compile(rb"""[ \t]+["'`]?([^\s"'`]+)""")
+_KEY_BLOCK = re.compile(rb"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:(?:(?!-----BEGIN).)*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----|(?:\s*\n[A-Za-z0-9+/=]{16,})*)", re.S)
 _FILE = re.compile(r"\.[A-Za-z]{2,4}$")
 _COMMON_PAIRS = frozenset(a + b for w in DICTIONARY for a, b in zip(w, w[1:], strict=False))
 
@@ -108,7 +118,7 @@ def describe(value: str, before: str, after: str) -> list[float]:
         max((len(m) for m in _PLAIN.findall(value)), default=0) / n, float(len(set(value)) / n),
         float(told), float(told or any(w in TELLING for w in near)), float(any(w in HARMLESS for w in near)),
         float(ends.endswith(("=", ":"))), float(before[-1:] in "\"'" and bool(before)), float(after[:1] in "\"'" and bool(after)),
-        float(value.startswith(("AKIA", "ghp_", "sk_", "xox", "eyJ"))), float(value[:1] in "$<{%" and value[-1:] in "})>s" or value[-1:] in ")]"), float(any(c in "(){}[]<>;" for c in value)), float(letters in _FILLERS or value.isdigit() and n < 4),
+        float(value.startswith(("AKIA", "ghp_", "glpat-", "sk_", "xox", "eyJ", "AIza", "-----BEGIN"))), float(value[:1] in "$<{%" and value[-1:] in "})>s" or value[-1:] in ")]"), float(any(c in "(){}[]<>;" for c in value)), float(letters in _FILLERS or value.isdigit() and n < 4),
     ]
 
 
@@ -128,7 +138,7 @@ def made_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
     hexes, alnum, mixed = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/_-"
     name = lambda: rng.choice(("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "auth_token", "access_key", "client_secret", "TOKEN", "PASSWORD", "SECRET_KEY"))
     join = lambda: rng.choice(("=", " = ", ": ", ":", " ", ' = "', "='", '": "'))
-    secret = lambda: rng.choice((lambda: chars(hexes, rng.choice((16, 18, 20, 24, 32, 40, 64))), lambda: chars(hexes.upper(), rng.choice((24, 32, 40))), lambda: chars(alnum, rng.randint(14, 48)), lambda: chars(mixed, rng.randint(20, 60)), lambda: "AKIA" + chars(string.ascii_uppercase + string.digits, 16), lambda: "ghp_" + chars(alnum, 36), lambda: chars(alnum, rng.randint(12, 20))))()
+    secret = lambda: rng.choice((lambda: chars(hexes, rng.choice((16, 18, 20, 24, 32, 40, 64))), lambda: chars(hexes.upper(), rng.choice((24, 32, 40))), lambda: chars(alnum, rng.randint(14, 48)), lambda: chars(mixed, rng.randint(20, 60)), lambda: "AKIA" + chars(string.ascii_uppercase + string.digits, 16), lambda: "ghp_" + chars(alnum, 36), lambda: chars(alnum, rng.randint(12, 20)), lambda: rng.choice(("glpat-", "sk_live_", "xoxb-", "AIza", "eyJ")) + chars(mixed, rng.randint(20, 60)), lambda: f"-----BEGIN {rng.choice(('RSA ', 'EC ', 'OPENSSH ', ''))}PRIVATE KEY-----\n" + chars(mixed, 64) + "\n" + chars(mixed, 40) + "=\n-----END PRIVATE KEY-----"))()
     harmless = (
         lambda: ("see /" + words(2, "/") + "/", chars(hexes, 32) + rng.choice((".png", ".js", ".css"))),
         lambda: (rng.choice(("commit ", "sha1 ", "md5: ", "checksum = ", "sha256:", "etag: ", "digest ")), chars(hexes, rng.choice((32, 40, 64)))),
@@ -147,6 +157,19 @@ def made_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
     )
     leet = str.maketrans("aeiost", "431057")
     title = lambda w: w[0].upper() + w[1:]
+    harmless += (
+        lambda: (nonsense() + " ", words(1, "") + "".join(title(words(1, "")) for _ in range(rng.randint(1, 4)))),
+        lambda: (nonsense() + " ", nonsense() + "".join(title(nonsense()) for _ in range(rng.randint(1, 2)))),
+        lambda: (nonsense() + " ", words(rng.randint(2, 5), rng.choice("_-/"))),
+        lambda: (nonsense() + " ", "_".join(nonsense() for _ in range(rng.randint(2, 3)))),
+        lambda: (nonsense() + " ", nonsense() + nonsense() + nonsense()),
+        lambda: (nonsense() + " ", title(nonsense()) + str(rng.randint(1, 2030))),
+        lambda: (nonsense() + " ", "-".join(nonsense() for _ in range(rng.randint(3, 5)))),
+        lambda: (nonsense() + " ", chars(rng.choice((alnum, string.ascii_uppercase + string.digits, hexes)), rng.randint(8, 14))),
+        lambda: (rng.choice(("https:", "see ")), "//" + nonsense() + ".com/" + "/".join(nonsense() for _ in range(rng.randint(1, 3))) + "/" + "-".join(words(1, "") for _ in range(rng.randint(2, 6)))),
+        lambda: ("at ", f"{rng.randint(1, 28)}-{rng.randint(1, 12)}-{rng.randint(1990, 2030)}"),
+        lambda: (rng.choice(("isbn ", "call ", "phone ", "tel: ")), "-".join(chars(string.digits, rng.randint(1, 5)) for _ in range(rng.randint(2, 5)))),
+    )
     telling = lambda: name() if rng.random() < 0.6 else rng.choice(("key", "private_key", "access_token", "DB_PASSWORD", "db_pwd", "clientSecret", "userPassword", "apiKey", "credentials", "auth"))
     chosen = (
         lambda: nonsense() + str(rng.randint(1, 9999)),
@@ -157,6 +180,9 @@ def made_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
         lambda: chars(alnum, rng.randint(6, 11)),
         lambda: chars(string.ascii_letters, rng.randint(8, 40)),
         lambda: chars(string.ascii_lowercase, rng.randint(12, 32)),
+        lambda: words(rng.randint(2, 4), "") + rng.choice(("", "", str(rng.randint(1, 999)))),
+        lambda: nonsense() + nonsense() + rng.choice(("", "!", "99")),
+        lambda: words(1, "") + rng.choice(("", nonsense())) + chars(string.digits, rng.randint(1, 4)) + rng.choice(("", "!", "#")),
         lambda: nonsense() + rng.choice("äöüßéèñç") + nonsense() + rng.choice("!@#$%^&*?1234567890"),
     )
     cased = lambda w: rng.choice((w, w, title(w), w.upper()))
@@ -176,9 +202,10 @@ def made_findings(n: int, seed: int) -> list[tuple[str, int, int, int]]:
         lead = " ".join(nonsense() for _ in range(3)) + " "
         if k % 2:
             value, start = secret(), lead + name() + join()
-            if rng.random() < 0.1:
+            if rng.random() < 0.1 or value.startswith("-----BEGIN"):
                 start = lead
-                value = rng.choice(("AKIA" + chars(string.ascii_uppercase + string.digits, 16), "ghp_" + chars(alnum, 36)))
+                if not value.startswith("-----BEGIN"):
+                    value = rng.choice(("AKIA" + chars(string.ascii_uppercase + string.digits, 16), "ghp_" + chars(alnum, 36), "sk_live_" + chars(alnum, 24), "glpat-" + chars(alnum, 20)))
             elif rng.random() < 0.35:
                 value, start = rng.choice(chosen)(), lead + (telling() + explicit() if rng.random() < 0.85 else rng.choice(("Bearer ", "password ", "pwd ", "token ")))
         else:
@@ -236,7 +263,15 @@ def _grow(x: np.ndarray, y: np.ndarray, rows: np.ndarray, rng: np.random.Generat
 
 def candidates(chunk: Chunk) -> list[tuple[int, int, int]]:
     """(row, first byte, end byte within the row) of candidate values, in order, each once; two may overlap."""
-    return sorted({*_runs(chunk), *_named_values(chunk)})
+    return sorted({*_runs(chunk), *_named_values(chunk), *_key_blocks(chunk)})
+
+
+def _key_blocks(chunk: Chunk) -> list[tuple[int, int, int]]:
+    """Blocks of private keys."""
+    data = chunk.data.tobytes()
+    if b"PRIVATE KEY" not in data:
+        return []
+    return [(row, *found.span()) for row in range(chunk.rows) for found in _KEY_BLOCK.finditer(data[chunk.bounds[row] : chunk.bounds[row + 1]])]
 
 
 def _named_values(chunk: Chunk) -> list[tuple[int, int, int]]:
@@ -256,7 +291,7 @@ def _named_values(chunk: Chunk) -> list[tuple[int, int, int]]:
 
 
 def _runs(chunk: Chunk) -> list[tuple[int, int, int]]:
-    """Long runs of token characters with a digit or an assignment in them."""
+    """Runs of token characters that are not just a word."""
     data = chunk.data
     flag = np.concatenate([[False], _CLASS[data], [False]])
     flag_change = np.flatnonzero(flag[1:] != flag[:-1])
@@ -266,13 +301,15 @@ def _runs(chunk: Chunk) -> list[tuple[int, int, int]]:
         run = np.searchsorted(start, inner, "right") - 1
         crossing = inner[(run >= 0) & (inner > start[run]) & (inner < end[run])]
         start, end = np.sort(np.append(start, np.unique(crossing))), np.sort(np.append(end, np.unique(crossing)))
-    long = end - start >= SHORTEST
-    start, end = start[long], end[long]
+    enough = end - start >= RUN
+    start, end = start[enough], end[enough]
     if not len(start):
         return []
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
+    cased = np.zeros(len(data), bool)
+    cased[1:] = _UPPER[data[1:]] & _SMALL[data[:-1]]
+    telling = np.concatenate([[0], np.cumsum(_DIGIT[data] | (data == 0x5F) | cased)])
     equals = np.concatenate([[0], np.cumsum(data == 0x3D)])
-    hot = (digits[end] > digits[start]) | (equals[end - 2] > equals[start + 1])
+    hot = (telling[end] > telling[start]) | (equals[end - 2] > equals[start + 1]) | (end - start >= LONG_RUN)
     out = []
     for a, b in zip(start[hot].tolist(), end[hot].tolist(), strict=True):
         row = int(np.searchsorted(chunk.bounds, a, "right")) - 1
@@ -281,7 +318,7 @@ def _runs(chunk: Chunk) -> list[tuple[int, int, int]]:
         lo, hi = a + cut, a + len(text.rstrip(b".-~/"))
         while lo < hi and data[lo] in b"./~-":
             lo += 1
-        if hi - lo >= SHORTEST:
+        if hi - lo >= RUN:
             out.append((row, lo - int(chunk.bounds[row]), hi - int(chunk.bounds[row])))
     return out
 
