@@ -321,3 +321,21 @@ def test_pipeline_stages(spark, tmp_path):
         packed[r["doc_id"]] += r["length"]
     assert packed == collections.Counter({d: n * len(safe[d].split()) for d, n in mixed.items()})
     assert packing.PackConfig().lengths[-1] == 4096
+
+
+def test_pipeline_run_is_its_stages(spark, tmp_path):
+    """run() over a table with null, empty and repeated rows and odd columns equals the stages one by one; an empty table gives none."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 90")
+    odd = docs.limit(3).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("doc_id") % 2 == 0, F.col("text")).alias("text"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("n_chars"))
+    empty = docs.limit(2).withColumn("text", F.lit(""))
+    docs.unionByName(docs.limit(5)).unionByName(odd).unionByName(empty).withColumn("a.b", F.lit(1)).withColumn("row", F.lit("clash")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+    own = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        columns = own.columns
+        stage(spark, own, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        own = spark.read.parquet(f"{tmp_path}/{name}")
+        assert name == "pack" or own.columns == columns
+    assert got == sorted(map(str, own.collect())) and len(got) > 50
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
