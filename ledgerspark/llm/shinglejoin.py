@@ -515,23 +515,27 @@ def _block(way: int) -> Column:
 
 
 def _links(clusters: DataFrame, texts: DataFrame, config: JoinConfig) -> DataFrame:
-    """``node, root``: components of the true links; ``clusters`` has ``node, key, n, root``, ``texts`` a text per key."""
-    cut = materialize(_blocks(clusters, config).filter(F.col("root").isNotNull()), "join-blocks")
-    once = cut.select(*_first(F.xxhash64("root", _block(0))), "key")
-    again = cut.filter("blocks > 1").select(*_first(F.xxhash64("root", _block(1), F.lit(1))), "key")
-    first = once.unionByName(again).join(texts, "key").drop("key")
-    found = _edges(first, _read_texts(config), _linker(config), False)
+    """``node, root``: components of the true links; ``clusters`` has ``node, key, n, root``, ``texts`` a text per key.
+
+    The texts of clusters are written once, so that the second round reads only those it needs.
+    """
+    cut = materialize(_blocks(clusters, config).join(texts, "key").drop("key"), "join-texts")
+    once = cut.select(*_first(F.xxhash64("root", _block(0))), "text")
+    again = cut.filter("blocks > 1").select(*_first(F.xxhash64("root", _block(1), F.lit(1))), "text")
+    found = _edges(once.unionByName(again), _read_texts(config), _linker(config), False)
     classes = materialize(connected_components(found), "join-found")
-    wide = cut.filter("blocks > 1").select(F.col("root").alias("group"), _block(0).alias("block"), "node", "key")
+    wide = cut.filter("blocks > 1").select(F.col("root").alias("group"), _block(0).alias("block"), "node")
     if wide.isEmpty():
+        discard(cut)
         return classes
     rows = wide.join(classes, "node", "left")
     rows = materialize(rows.withColumn("known", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "node")), "join-wide")
     alone = rows.filter("NOT known").select("node", "root")
     left = materialize(_rest(rows.drop("known"), config), "join-rest")
-    if left.isEmpty():
-        return classes.unionByName(alone)
-    return _merged(classes.unionByName(alone), _edges(left.join(texts, "key").drop("key"), _read_texts(config), _linker(config), True), "join-found")
+    own = cut.filter("blocks > 1").select("node", "text")
+    merged = _merged(classes.unionByName(alone), _edges(left.join(own, "node"), _read_texts(config), _linker(config), True), "join-found")
+    discard(cut, rows, left, classes)
+    return merged
 
 
 def _keyed(id_col: str, text_col: str):
