@@ -35,10 +35,10 @@ def choose_fiscal_year(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Rows whose period ends before their year are comparatives and go. A full-year shape, the latest filing, the best
     priority and the greatest value win; of years that claim one period end the smallest stays.
     """
-    usable = df.filter(F.year("period_end") >= F.col("fiscal_year"))
+    usable = df.filter(F.coalesce(F.year("period_end") >= F.col("fiscal_year"), F.col("fiscal_year").isNull()))
     full = (F.col("period_shape") == "FY_or_TTM").desc_nulls_last()
     one = top_n(usable, [*keys, "fiscal_year"], [full, F.desc_nulls_last("period_end"), F.desc_nulls_last("filed"), F.asc_nulls_last("priority"), F.desc_nulls_last("value")])
-    return top_n(one, [*keys, "period_end"], [F.asc("fiscal_year"), F.desc_nulls_last("value")])
+    return top_n(one, [*keys, "period_end"], [F.asc_nulls_last("fiscal_year"), F.desc_nulls_last("value")])
 
 
 def fill_from(df: DataFrame, keys: Sequence[str], concept: str, source: str, target: str) -> DataFrame:
@@ -94,24 +94,55 @@ def first_available(df: DataFrame, keys: Sequence[str], priority: str) -> DataFr
     return best_priority(df, keys, priority)
 
 
+def collapse_labels(df: DataFrame, supported: DataFrame, keys: Sequence[str], label: str, order: Sequence[Column]) -> DataFrame:
+    """Without rows whose key is supported under another label but not their own; of what is left one row per key and label."""
+    return top_n(df.join(reclassified(df, supported, keys, label).select(*keys, label).distinct(), [*keys, label], "left_anti"), [*keys, label], order)
+
+
+def prefer_implied(flows: DataFrame, ends: DataFrame, keys: Sequence[str], date: str, year: str, end: str) -> DataFrame:
+    """Of flow rows of one key and date the one whose year is the one that the date implies, else the least year; dates must be unique after.
+
+    ``ends`` has the keys' first column, the year and its end. Rows without a date stay as they are.
+    """
+    from ledgerspark.operators.asof import implied_period
+
+    known = implied_period(flows.filter(F.col(date).isNotNull()), ends, [keys[0]], date, end, year, "__implied")
+    one = top_n(known, [*keys, date], [F.col(year).eqNullSafe(F.col("__implied")).desc(), F.asc_nulls_last(year)])
+    return one.drop("__implied").unionByName(flows.filter(F.col(date).isNull()))
+
+
+def apply_mapping(facts: DataFrame, decisions: DataFrame, concept: str = "source_concept") -> DataFrame:
+    """``facts`` with ``canonical`` by a table of decisions (source_concept, canonical_concept, status, notes): only accepted ones give a name.
+
+    A decision without notes is an error. The table is configuration, so Catalyst may broadcast it by its size.
+    """
+    if decisions.filter("notes IS NULL OR notes = ''").limit(1).count():
+        raise ValueError("a mapping decision needs notes")
+    usable = decisions.filter("status = 'accepted'").select(F.col("source_concept").alias(concept), F.col("canonical_concept").alias("canonical"))
+    return facts.join(usable, concept, "left")
+
+
 def implausible_neighbours(df: DataFrame, keys: Sequence[str], order: str, value: str, factor: float = 500.0, rounds: int = 15) -> DataFrame:
     """``df`` with ``suspect``: values a factor away from the nearest trusted value before them, or else after them.
 
     A suspect is trusted by nobody in the next round, in which all are judged anew. Where rounds end unsettled, only what
-    was suspect twice in a row stays so. A count and a checksum per round are all that reaches the driver.
+    was suspect twice in a row stays so. Rounds write keys, order, value and flags alone; a count and a checksum per round
+    are all that reaches the driver.
     """
     from ledgerspark.operators.windows import nearest
-    from ledgerspark.session import materialize
+    from ledgerspark.session import discard, materialize
 
-    state, seen = df.withColumn("suspect", F.lit(False)).withColumn("__was", F.lit(False)), None
+    whole = materialize(df.withColumn("__id", F.monotonically_increasing_id()), "plausibility-rows")
+    state, seen = whole.select("__id", *keys, order, value, F.lit(False).alias("suspect"), F.lit(False).alias("__was")), None
     for _ in range(rounds):
         earlier, later = nearest(F.when(~F.col("suspect"), F.col(value)), keys, order)
         near = state.withColumn("__near", F.coalesce(earlier, later)).withColumn("__was", F.col("suspect"))
         ratio = F.when((F.col("__near") != 0) & (F.col(value) != 0), F.col(value) / F.col("__near"))
         state = near.withColumn("suspect", F.coalesce((ratio >= factor) | (ratio <= 1 / factor), F.lit(False))).drop("__near")
-        state = materialize(state, "plausibility")
-        now = state.filter("suspect").agg(F.count(F.lit(1)), F.coalesce(F.expr(f"bit_xor(xxhash64({', '.join([*keys, order])}))"), F.lit(0))).first()
+        before, state = state, materialize(state, "plausibility")
+        discard(before)
+        now = state.filter("suspect").agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("__id")), F.lit(0))).first()
         if now == seen:
             break
         seen = now
-    return state.withColumn("suspect", F.col("suspect") & F.col("__was")).drop("__was")
+    return whole.join(state.select("__id", (F.col("suspect") & F.col("__was")).alias("suspect")), "__id").drop("__id")

@@ -111,6 +111,12 @@ MARKET_METRICS: dict[str, Callable[[], Column]] = {
     "p_fcf": lambda: safe_div("market_cap", free_cash_flow()),
     "p_tbv": lambda: safe_div("market_cap", tangible_book()),
     "ev_to_ebitda": lambda: clamp(safe_div(enterprise_value(), ebitda()), CLAMPS["ev_to_ebitda"]),
+    "ocf_yield": lambda: percent("ocf", "market_cap"),
+    "ebitda_yield": lambda: percent(ebitda(), "market_cap"),
+    "dividend_yield": lambda: percent(zero(F.abs("dividends")), "market_cap"),
+    "buyback_yield": lambda: percent(zero(F.abs("buybacks")), "market_cap"),
+    "ncav_moderate_ratio": lambda: over_positive("market_cap", haircut_value(HAIRCUTS["ncav_moderate"])),
+    "ncav_strict_ratio": lambda: over_positive("market_cap", haircut_value(HAIRCUTS["ncav_strict"])),
     "earnings_yield": lambda: F.when(C("net_income") > 0, percent("net_income", "market_cap")),
     "sales_yield": lambda: percent("revenue", "market_cap"),
     "fcf_yield": lambda: percent(free_cash_flow(), "market_cap"),
@@ -132,7 +138,29 @@ def altman_zone(z: Column) -> Column:
     return F.when(z > 3.0, "safe").when(z < 1.8, "distress").when(z.isNotNull(), "grey")
 
 
+PER_SHARE: dict[str, Callable[[], Column]] = {
+    "ncav_per_share": lambda: over_positive(C("current_assets") - liabilities(), "shares"),
+    "ncav_moderate_per_share": lambda: over_positive(haircut_value(HAIRCUTS["ncav_moderate"]), "shares"),
+    "ncav_strict_per_share": lambda: over_positive(haircut_value(HAIRCUTS["ncav_strict"]), "shares"),
+    "tangible_book_per_share": lambda: over_positive(tangible_book(), "shares"),
+}
+
+
+def fresh(value: Column, as_of: Column, today: Column, days: int = 400) -> Column:
+    """A value that is not older than so many days."""
+    return F.when(F.datediff(today, as_of).between(0, days), value)
+
+
+def live_multiples(price: Column, shares: Column) -> dict[str, Column]:
+    """Multiples of trailing sums (ttm_net_income, ttm_ebitda), latest equity, NCAV and debt at a live price."""
+    cap = price * shares
+    return {
+        "live_pe": over_positive(cap, "ttm_net_income"), "live_pb": over_positive(cap, "equity"), "live_ncav_per_share": over_positive(C("ncav"), shares),
+        "live_ncav_ratio": over_positive(cap, "ncav"), "live_ev_to_ebitda": over_positive(cap + zero("debt") - zero("cash"), "ttm_ebitda"),
+    }
+
+
 def add_metrics(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` with the named metrics, in one projection."""
-    every = {**STATEMENT_METRICS, **MARKET_METRICS}
+    every = {**STATEMENT_METRICS, **MARKET_METRICS, **PER_SHARE}
     return df.select("*", *[every[n]().alias(n) for n in names])

@@ -43,10 +43,19 @@ def escalate(df: DataFrame, cluster: Sequence[str], key: str, severity: str, lea
 
 
 def cluster_growth(now: DataFrame, before: DataFrame, cluster: Sequence[str], least: int = 5, share: float = 0.2) -> DataFrame:
-    """new, grown (by ``least`` and the share at once) or steady, against the run before."""
-    j = now.join(before.withColumnRenamed("n", "before"), list(cluster), "left")
+    """new, grown (by ``least`` and the share at once), worse (a higher ``severity``, where both have one) or steady, against the run before."""
+    ranked = "severity" in now.columns and "severity" in before.columns
+    j = now.join(before.select(*cluster, F.col("n").alias("before"), *([F.col("severity").alias("__was")] if ranked else [])), list(cluster), "left")
     more = F.col("n") - F.col("before")
-    return j.withColumn("change", F.when(F.col("before").isNull(), "new").when((more >= least) & (more >= share * F.col("before")), "grown").otherwise("steady"))
+    change = F.when(F.col("before").isNull(), "new").when((more >= least) & (more >= share * F.col("before")), "grown")
+    if ranked:
+        change = change.when(F.col("severity") > F.col("__was"), "worse")
+    return j.withColumn("change", change.otherwise("steady")).drop("__was")
+
+
+def severity(relative: Column, minor: float = 0.02, major: float = 0.10) -> Column:
+    """ok, minor, major by a relative difference; null without one."""
+    return F.when(F.abs(relative) <= minor, "ok").when(F.abs(relative) <= major, "minor").when(relative.isNotNull(), "major")
 
 
 def bucket(key: Column, of: int) -> Column:
@@ -54,20 +63,6 @@ def bucket(key: Column, of: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(of)).cast("long")
 
 
-def normalised_name(name: Column) -> Column:
-    """Sorted distinct tokens of a company name without punctuation and legal forms."""
-    plain = F.trim(F.regexp_replace(F.regexp_replace(F.upper(name), "[^A-Z0-9 ]", " "), r"\b(INC|CORP|CORPORATION|CO|LTD|PLC|SA|AG|NV|THE)\b", " "))
-    return F.array_sort(F.array_distinct(F.split(plain, " +")))
-
-
-def name_match(a: Column, b: Column) -> Column:
-    """same (equal token sets), ambiguous (one holds the other, or half is shared) or different."""
-    x, y = normalised_name(a), normalised_name(b)
-    shared = F.size(F.array_intersect(x, y))
-    least, most = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
-    return F.when(shared == most, "same").when((shared == least) | (shared * 2 >= most), "ambiguous").otherwise("different")
-
-
 def family(kind: T.DataType) -> str:
     if isinstance(kind, T.BooleanType):
         return "bool"

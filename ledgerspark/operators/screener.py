@@ -44,6 +44,19 @@ def band(column: str, bands: Sequence[tuple[str, float | None, float | None]]) -
     return label
 
 
+def bands_for(metric: str, unit: str | None, bands: Mapping[str, Sequence[tuple[str, float | None, float | None]]]) -> Sequence[tuple[str, float | None, float | None]]:
+    """The bands of a metric: by its exact name, its name before ' — ' or ' (', the longest prefix that is listed as 'prefix*', or its unit as 'unit:%'."""
+    base = metric.split(" — ")[0].split(" (")[0]
+    prefixes = sorted((k for k in bands if k.endswith("*") and metric.startswith(k[:-1])), key=len, reverse=True)
+    found = next((k for k in (metric, base, *prefixes, f"unit:{unit}") if k in bands), None)
+    return bands[found] if found else ()
+
+
+def in_bands(column: str, bands: Sequence[tuple[str, float | None, float | None]], chosen: Sequence[str]) -> Column:
+    """Whether a value is in any chosen band; with none chosen all rows pass, else null fails."""
+    return F.coalesce(band(column, bands).isin(*chosen), F.lit(False)) if chosen else F.lit(True)
+
+
 def traffic_light(value: Column, good: float, bad: float) -> Column:
     """green / yellow / red; ``good`` over ``bad`` means that higher is better."""
     if good >= bad:
@@ -66,6 +79,17 @@ def peer_medians(df: DataFrame, key: str, groups: Sequence[str], value: str, lea
     return found.select(*df.columns, basis.alias("basis"), pick("__m_").alias("peer_median"), pick("__n_").alias("peers"))
 
 
+def gated(df: DataFrame, group: str, value: str, least: int) -> tuple[DataFrame, DataFrame]:
+    """Groups with their median and number of known values where these are ``least`` or more, and one row that counts the hidden ones."""
+    stats = df.groupBy(group).agg(F.median(value).alias("median"), F.count(value).alias("n"))
+    return stats.filter(F.col("n") >= least), stats.agg(F.count_if(F.col("n") < least).alias("hidden_groups"), F.coalesce(F.sum(F.when(F.col("n") < least, F.col("n"))), F.lit(0)).alias("hidden_rows"))
+
+
+def compare_one(df: DataFrame, key: str, groups: Sequence[str], value: str, one: object, basis: str | None = None, least: int = 3) -> DataFrame:
+    """One key beside its peers: value, median and number of the first group with ``least`` values, or of a forced one (null under it)."""
+    return peer_medians(df, key, [basis] if basis else groups, value, least).filter(F.col(key) == F.lit(one))
+
+
 def mode(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The most frequent value of each group, the least of ties."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
@@ -77,12 +101,26 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> Data
     return df.orderBy(*order).offset(number * size).limit(size)
 
 
+def counted_page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> tuple[DataFrame, int]:
+    """One page, and how many rows there are in all."""
+    return page(df, order, number, size), df.count()
+
+
 def fill_rate(df: DataFrame, name: str, key: str) -> DataFrame:
     """Share of all keys that have each name."""
     total = df.agg(F.count_distinct(key).alias("of"))
     return df.groupBy(name).agg(F.count_distinct(key).alias("n")).crossJoin(F.broadcast(total)).withColumn("fill_rate", F.col("n") / F.col("of"))
 
 
+def recent_fill_rate(df: DataFrame, name: str, key: str, year: str, years: int) -> DataFrame:
+    """``n, of, fill_rate`` over all years, and ``recent_n, recent_of, recent_rate`` over the last years of all, from one pass and one row of totals."""
+    newest = df.agg(F.max(year).alias("__y"))
+    own = df.crossJoin(F.broadcast(newest)).withColumn("__k", F.when(F.col(year) > F.col("__y") - years, F.col(key)))
+    total = own.agg(F.count_distinct(key).alias("of"), F.count_distinct("__k").alias("recent_of"))
+    found = own.groupBy(name).agg(F.count_distinct(key).alias("n"), F.count_distinct("__k").alias("recent_n")).crossJoin(F.broadcast(total))
+    return found.withColumn("fill_rate", F.col("n") / F.col("of")).withColumn("recent_rate", F.when(F.col("recent_of") > 0, F.col("recent_n") / F.col("recent_of")))
+
+
 def range_position(value: str, keys: Sequence[str]) -> Column:
     """0 at the key's least value, 1 at its greatest."""
     w = Window.partitionBy(*keys)

@@ -57,16 +57,35 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_if:
     return joined.select(F.when(use_source, F.col("s")).otherwise(F.col("t")).alias("r")).select("r.*")
 
 
+def _lacking(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the target whose keys the source has not; null keys are equal."""
+    on = None
+    for k in keys:
+        source = source.withColumnRenamed(k, f"__s_{k}")
+        c = F.col(k).eqNullSafe(F.col(f"__s_{k}"))
+        on = c if on is None else on & c
+    return target.join(source.select(*[f"__s_{k}" for k in keys]).distinct(), on, "left_anti")
+
+
 def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The source's rows, and those of the target whose keys it has not."""
-    return source.select(target.columns).unionByName(target.join(source.select(*keys), list(keys), "left_anti"))
+    return source.select(target.columns).unionByName(_lacking(target, source, keys))
 
 
-def delete_orphans(target: DataFrame, source: DataFrame, keys: Sequence[str], scope: Sequence[str]) -> DataFrame:
-    """Without target rows that the source lacks, among the scope values that the source covers."""
-    evaluated = source.select(*scope).distinct()
-    gone = target.join(evaluated, list(scope), "left_semi").join(source.select(*keys), list(keys), "left_anti")
-    return target.join(gone.select(*keys), list(keys), "left_anti")
+def delete_orphans(target: DataFrame, source: DataFrame, keys: Sequence[str], scope: Sequence[str], spared: Column | None = None) -> DataFrame:
+    """Without target rows that the source lacks, among the scope values that the source covers; rows that ``spared`` holds for stay (derived ones)."""
+    flag = F.lit(False) if spared is None else F.coalesce(spared, F.lit(False))
+    outside = _lacking(target.filter(~flag), source, scope)
+    seen = source.select(*dict.fromkeys([*keys])).distinct()
+    both = target.filter(~flag)
+    on = None
+    for k in keys:
+        seen = seen.withColumnRenamed(k, f"__s_{k}")
+        c = F.col(k).eqNullSafe(F.col(f"__s_{k}"))
+        on = c if on is None else on & c
+    held = both.join(seen, on, "left_semi")
+    missed = _lacking(outside, source, keys)
+    return held.unionByName(missed).unionByName(target.filter(flag))
 
 
 def preserve(new: Column, old: Column) -> Column:
@@ -74,6 +93,19 @@ def preserve(new: Column, old: Column) -> Column:
     return F.coalesce(new, old)
 
 
+def prune_history(df: DataFrame, keys: Sequence[str], scraped: str, keep: int) -> DataFrame:
+    """Rows of the ``keep`` latest loads of each key."""
+    from ledgerspark.operators.dedup import retain_recent
+
+    return retain_recent(df, keys, scraped, keep)
+
+
+def check_scope(scope: DataFrame, present: DataFrame, key: str) -> None:
+    """Raise if a write's scope does not cover all keys that are there already: a partial run must not replace a whole table."""
+    if present.select(key).distinct().join(scope.select(key), key, "left_anti").limit(1).count():
+        raise ValueError(f"the scope lacks some {key} that the table has")
+
+
 def guard(part: int, whole: int, least: float, what: str) -> None:
     """Raise unless part / whole reaches the share; an empty whole passes."""
     if whole and part / whole < least:

@@ -53,16 +53,44 @@ def graham_revised(eps: Column, growth: Column, base_pe: Column, multiplier: Col
 def two_stage_dcf(fcf: Column, g1: Column, wacc: Column, g_end: Column, years: int | Column = 10) -> Column:
     """Present value of ``years`` of cash flow grown by g1 and of its end by Gordon's formula; needs wacc > g_end."""
     n = F.lit(years) if isinstance(years, int) else years
-    start = F.struct(fcf.alias("cf"), F.lit(0.0).alias("pv"), F.lit(1.0).alias("d"))
+    q = (1 + g1) / (1 + wacc)
+    qn = F.pow(q, n)
+    stream = F.when(F.abs(q - 1) < 1e-12, n.cast("double")).otherwise(q * (1 - qn) / (1 - q))
+    return F.when((wacc > g_end) & (n >= 0), fcf * (stream + qn * (1 + g_end) / (wacc - g_end)))
 
-    def step(acc: Column, _: Column) -> Column:
-        cf, d = acc["cf"] * (1 + g1), acc["d"] / (1 + wacc)
-        return F.struct(cf.alias("cf"), (acc["pv"] + cf * d).alias("pv"), d.alias("d"))
 
-    def end(acc: Column) -> Column:
-        return acc["pv"] + acc["cf"] * (1 + g_end) / (wacc - g_end) * acc["d"]
+def per_share(value: Column, shares: Column, net_cash: Column | None = None) -> Column:
+    """A firm's value, plus its net cash (unknown: 0) where given, for one share; null without a positive count."""
+    total = value if net_cash is None else value + zero(net_cash)
+    return F.when(shares > 0, total / shares)
 
-    return F.when((wacc > g_end) & fcf.isNotNull(), F.aggregate(F.sequence(F.lit(1), n), start, step, end))
+
+def capitalised(earnings: Column, multiple: Column | None = None, rate: Column | None = None) -> Column:
+    """Owner earnings times a multiple, or divided by a positive rate; of losses none."""
+    worth = earnings * multiple if multiple is not None else F.when(rate > 0, earnings / rate)
+    return F.when(earnings > 0, worth)
+
+
+def by_quantile(quantile: Column, low: float, mid: float, high: float, ends: tuple[float, float] = (0.10, 0.90)) -> Column:
+    """A parameter that runs straight from ``low`` at the first end over ``mid`` at the median to ``high`` at the other, held beyond."""
+    a, b = ends
+    below = low + (mid - low) * (quantile - a) / (0.5 - a)
+    above = mid + (high - mid) * (quantile - 0.5) / (b - 0.5)
+    return F.when(quantile <= a, low).when(quantile >= b, high).when(quantile <= 0.5, below).otherwise(above)
+
+
+def blended_growth(value: Column, start: Column, end: Column, years: int = 10, decay: float = 0.55) -> Column:
+    """A value after ``years`` more years whose growth nears ``end`` exponentially."""
+    grown = value
+    for k in range(1, years + 1):
+        grown = grown * (1 + blend(start, end, F.lit(k), decay))
+    return grown
+
+
+def labelled(df: DataFrame, keys: list[str], methods: Mapping[str, str], scenario: str = "scenario") -> DataFrame:
+    """Long ``keys, metric, value``: one row per method and scenario, named 'method — scenario'; nulls go."""
+    cells = F.array(*[F.struct(F.concat(F.lit(f"{label} — "), F.col(scenario)).alias("metric"), F.col(c).cast("double").alias("value")) for c, label in methods.items()])
+    return df.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*").filter("value IS NOT NULL")
 
 
 def owner_earnings(net_income: Column, da: Column, sbc: Column, capex: Column, change_wc: Column) -> Column:

@@ -14,9 +14,9 @@ def clean_annual(facts: DataFrame, canonical: Mapping[str, str], rank: Mapping[s
     """One value per ticker, statement, concept and fiscal year.
 
     Takes ``ticker, stmt, concept, fiscal_year, period_start, period_end, value, filed``; years outside the bounds and shapes
-    shorter than a year are left out, snapshots stay.
+    shorter than a year are left out, snapshots and rows without a year stay (a year is compared with the period's end where it is known).
     """
-    shaped = facts.filter(F.col("fiscal_year").between(first_year, last_year)).withColumn("period_shape", clean.period_shape(F.col("period_start"), F.col("period_end")))
+    shaped = facts.filter(F.coalesce(F.col("fiscal_year").between(first_year, last_year), F.lit(True))).withColumn("period_shape", clean.period_shape(F.col("period_start"), F.col("period_end")))
     annual = shaped.filter(F.col("period_shape").isin("snapshot", "FY_or_TTM"))
     return clean.choose_fiscal_year(clean.collapse_synonyms(annual, "concept", canonical, rank), ["ticker", "stmt", "concept"])
 

@@ -98,15 +98,6 @@ def cluster_growth(t: Tables) -> DataFrame:
     return quality.cluster_growth(count(t.customer), count(t.customer.filter("c_custkey % 4 <> 0 AND c_nationkey <> 3")), ["c"], 15).select("c", "change")
 
 
-@query("""WITH p AS (SELECT s_suppkey, regexp_replace(upper(s_name), '[^A-Z0-9 ]', ' ', 'g') AS a, regexp_replace(upper(CASE s_suppkey % 3 WHEN 0 THEN s_name || ' Inc.' WHEN 1 THEN 'Other ' || s_suppkey ELSE s_name || ' Holding' END), '[^A-Z0-9 ]', ' ', 'g') AS b FROM supplier),
-x AS (SELECT s_suppkey, list_distinct(regexp_split_to_array(trim(regexp_replace(a, '\\b(INC|CORP|CORPORATION|CO|LTD|PLC|SA|AG|NV|THE)\\b', ' ', 'g')), ' +')) AS a, list_distinct(regexp_split_to_array(trim(regexp_replace(b, '\\b(INC|CORP|CORPORATION|CO|LTD|PLC|SA|AG|NV|THE)\\b', ' ', 'g')), ' +')) AS b FROM p)
-SELECT s_suppkey, CASE WHEN len(list_intersect(a, b)) = greatest(len(a), len(b)) THEN 'same' WHEN len(list_intersect(a, b)) = least(len(a), len(b)) OR len(list_intersect(a, b)) * 2 >= greatest(len(a), len(b)) THEN 'ambiguous' ELSE 'different' END AS verdict FROM x""".replace("\\\\", "\\"))
-def name_match(t: Tables) -> DataFrame:
-    m = F.col("s_suppkey") % 3
-    other = F.when(m == 0, F.concat("s_name", F.lit(" Inc."))).when(m == 1, F.concat(F.lit("Other "), F.col("s_suppkey").cast("string"))).otherwise(F.concat("s_name", F.lit(" Holding")))
-    return t.supplier.select("s_suppkey", quality.name_match(F.col("s_name"), other).alias("verdict"))
-
-
 @query("""SELECT CAST(json_extract_string(props, '$.' || k) AS VARCHAR) AS value, k AS key, CAST(count(*) AS BIGINT) AS n FROM (SELECT props, unnest(json_keys(props)) AS k FROM events) GROUP BY 1, 2""")
 def props_json(t: Tables) -> DataFrame:
     return ingest.json_pairs(t.events, "props").groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))

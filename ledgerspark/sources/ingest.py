@@ -41,6 +41,93 @@ def current_facts(facts: DataFrame, entity: Column, period_end: Column) -> DataF
     return facts.filter(base & (d["entity"] == entity) & (end == F.date_add(period_end, 1)) & number.isNotNull()).select(d["concept"].alias("concept"), number.alias("value"), d["unit"].alias("unit"))
 
 
+def merge_entities(*facts: DataFrame) -> DataFrame:
+    """Facts of an entity and its predecessors in one frame by name, with ``rank`` 0 for the first (a later choice prefers it); absent columns are null."""
+    ranked = [f.withColumn("rank", F.lit(k)) for k, f in enumerate(facts)]
+    out = ranked[0]
+    for f in ranked[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def member_facts(facts: DataFrame, axis: str, members: Sequence[str]) -> DataFrame:
+    """Facts with just one dimension, whose member is one of those allowed. Takes ``dims map<string,string>``."""
+    only = facts.filter((F.size("dims") == 1) & F.map_contains_key("dims", F.lit(axis)))
+    return only.filter(F.element_at("dims", F.lit(axis)).isin(*members)).withColumn("member", F.element_at("dims", F.lit(axis)))
+
+
+def presented_lines(arcs: DataFrame, labels: DataFrame, facts: DataFrame) -> DataFrame:
+    """Lines of a filing as presented: arcs (role, parent, tag, order, preferred) with the label of the preferred role, else the
+    standard one, and the fact's value; ``negated`` where the preferred label says so. Lines without a fact stay."""
+    own = labels.select("tag", F.col("role").alias("preferred"), F.col("label").alias("__own"))
+    plain = labels.filter("role = 'label'").select("tag", F.col("label").alias("__plain"))
+    lines = arcs.join(own, ["tag", "preferred"], "left").join(plain, "tag", "left").withColumn("label", F.coalesce("__own", "__plain", "tag"))
+    negated = F.coalesce(F.startswith(F.lower("preferred"), F.lit("negated")), F.lit(False))
+    return lines.join(facts, "tag", "left").select("role", "parent", "tag", "order", "label", negated.alias("negated"), *[c for c in facts.columns if c != "tag"])
+
+
+_SHEET = "{urn:schemas-microsoft-com:office:spreadsheet}"
+
+
+def sheet_rows(text: str) -> list[list[str]]:
+    """Rows of the first sheet of an XML workbook, cells that are skipped by an index as empty."""
+    import xml.etree.ElementTree as xml
+
+    table = xml.fromstring(text).find(f"{_SHEET}Worksheet/{_SHEET}Table")
+    out = []
+    for row in table.findall(f"{_SHEET}Row") if table is not None else ():
+        cells: list[str] = []
+        for cell in row.findall(f"{_SHEET}Cell"):
+            at = cell.get(f"{_SHEET}Index")
+            cells += [""] * (int(at) - 1 - len(cells) if at else 0)
+            cells.append("".join(cell.itertext()).strip())
+        out.append(cells)
+    return out
+
+
+def table_rows(html: str, wanted: Sequence[str]) -> list[dict[str, str]]:
+    """Rows of the first HTML table whose header has all wanted names."""
+    from html.parser import HTMLParser
+
+    class Tables(HTMLParser):
+        def __init__(self) -> None:
+            super().__init__()
+            self.tables: list[list[list[str]]] = []
+            self.open = False
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "table":
+                self.tables.append([])
+            elif tag == "tr" and self.tables:
+                self.tables[-1].append([])
+            elif tag in ("td", "th") and self.tables and self.tables[-1]:
+                self.tables[-1][-1].append("")
+                self.open = True
+
+        def handle_endtag(self, tag):
+            self.open = self.open and tag not in ("td", "th", "tr", "table")
+
+        def handle_data(self, data):
+            if self.open:
+                self.tables[-1][-1][-1] += data
+
+    parser = Tables()
+    parser.feed(html)
+    for rows in parser.tables:
+        head = [c.strip() for c in rows[0]] if rows else []
+        if set(wanted) <= set(head):
+            return [dict(zip(head, (c.strip() for c in r), strict=False)) for r in rows[1:] if r]
+    return []
+
+
+def made_facts(spark: SparkSession, tickers: int, years: Sequence[int], concepts: Sequence[str], seed: int = 1) -> DataFrame:
+    """A reproducible frame of yearly facts for tests and demos: every value from a hash of its key and the seed."""
+    ids = spark.range(tickers).select(F.concat(F.lit("T"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("ticker"))
+    grid = ids.select("ticker", F.explode(F.array(*map(F.lit, years))).alias("fiscal_year")).select("*", F.explode(F.array(*map(F.lit, concepts))).alias("concept"))
+    value = (F.pmod(F.xxhash64("ticker", "fiscal_year", "concept", F.lit(seed)), F.lit(1_000_000)) / 100).alias("value")
+    return grid.select("ticker", "fiscal_year", "concept", F.make_date("fiscal_year", F.lit(12), F.lit(31)).alias("period_end"), value)
+
+
 def class_totals(facts: DataFrame, axis: str = "StatementClassOfStockAxis") -> DataFrame:
     """Sum over the members of one axis at each entity's latest instant; facts with other dimensions are left out.
 

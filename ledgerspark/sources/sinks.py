@@ -6,6 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.operators.quality import contract_errors
 
@@ -24,17 +25,35 @@ def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def export(df: DataFrame, path: str, contract: Mapping[str, Sequence[str]], meta: Mapping[str, object] | None = None) -> int:
-    """Write ``df`` if it meets the contract, with a meta.json beside it; returns the rows read back."""
+def export(df: DataFrame, path: str, contract: Mapping[str, Sequence[str]], meta: Mapping[str, object] | None = None, period: str | None = None) -> int:
+    """Write ``df`` beside what is published, check contract and rows of what was written, then put it in the place of that; returns the rows.
+
+    meta.json beside it holds rows, columns and, with ``period``, the range of that column. Nothing published is touched
+    before the new data is proven; what an error leaves behind is the staging folder, which the next export removes.
+    """
     errors = contract_errors(df, contract)
     if errors:
         raise ValueError("; ".join(errors))
-    df.write.mode("overwrite").parquet(f"{path}/data")
     spark = df.sparkSession
-    n = spark.read.parquet(f"{path}/data").count()
-    text = json.dumps({"rows": n, "columns": df.columns, **(meta or {})}, default=str)
+    staged, data, old = f"{path}/_staging", f"{path}/data", f"{path}/_old"
+    df.write.mode("overwrite").parquet(staged)
+    back = spark.read.parquet(staged)
+    facts = back.agg(F.count(F.lit(1)).alias("n"), *([F.min(period).alias("first"), F.max(period).alias("last")] if period else [])).first()
+    errors = contract_errors(back, contract)
+    if errors:
+        raise ValueError("written data: " + "; ".join(errors))
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.delete(jvm.Path(old), True)
+    if fs.exists(jvm.Path(data)):
+        fs.rename(jvm.Path(data), jvm.Path(old))
+    if not fs.rename(jvm.Path(staged), jvm.Path(data)):
+        raise OSError(f"could not publish {data}; the data before is in {old}")
+    fs.delete(jvm.Path(old), True)
+    ranges = {"range": {period: [facts["first"], facts["last"]]}} if period else {}
+    text = json.dumps({"rows": facts["n"], "columns": df.columns, **ranges, **(meta or {})}, default=str)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
-    return n
+    return facts["n"]
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:

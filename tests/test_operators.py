@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import nulls
-from ledgerspark.operators import asof, backtest, clean, dedup, forecast, metrics, quality, reshape, screener, upsert, valuation, windows
+from ledgerspark.operators import asof, backtest, clean, dedup, forecast, identity, metrics, quality, reshape, screener, upsert, valuation, windows
 from ledgerspark.sources import ingest, sinks
 
 D = dt.date
@@ -157,7 +157,7 @@ def test_reconcile(spark):
 
 def test_names(spark):
     df = spark.createDataFrame([("Acme, Inc.", "ACME CORP"), ("Acme Holding", "Acme"), ("Foo", "Bar")], "a string, b string")
-    assert [r[0] for r in df.select(quality.name_match(F.col("a"), F.col("b"))).collect()] == ["same", "ambiguous", "different"]
+    assert [r[0] for r in df.select(identity.name_match(F.col("a"), F.col("b"))).collect()] == ["same", "same", "different"]
 
 
 def test_facts_json(spark, tmp_path):
