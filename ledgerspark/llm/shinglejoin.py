@@ -503,10 +503,14 @@ def _linker(config: JoinConfig):
 
 
 def _blocks(clusters: DataFrame, config: JoinConfig) -> DataFrame:
-    """``clusters`` (with ``node, n, root``) with ``blocks``: into how many its cluster is cut."""
+    """``clusters`` (with ``node, n, root``) with ``blocks``: into how many its cluster is cut.
+
+    Only clusters of several blocks are joined back, as a written table, so that Spark can split the join of a large one.
+    """
     total = clusters.groupBy("root").agg(F.sum("n").alias("items"), F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.greatest(F.col("items") / config.block_items, F.col("size") / config.block_rows)).cast("long")
-    return clusters.join(total.select("root", blocks.alias("blocks")), "root")
+    large = materialize(total.select("root", blocks.alias("__blocks")).filter("__blocks > 1"), "join-large")
+    return clusters.join(large, "root", "left").withColumn("blocks", F.coalesce("__blocks", F.lit(1).cast("long"))).drop("__blocks")
 
 
 def _block(way: int) -> Column:
