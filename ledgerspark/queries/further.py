@@ -54,13 +54,13 @@ def small_unless_split(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH {YEARLY}, p AS (SELECT ticker, make_date(fiscal_year, 7, 1) AS d, n_orders * 2.5::DOUBLE AS close FROM yearly WHERE fiscal_year >= 1997), l AS (SELECT ticker, arg_max(close, d) AS last FROM p GROUP BY 1), b AS (SELECT ticker, fiscal_year, make_date(fiscal_year, 12, 31) AS pe, n_orders * 400000.0::DOUBLE AS shares, revenue * 100 AS assets FROM yearly WHERE n_orders * 400000.0::DOUBLE < 2000000 AND revenue * 100 > 20000000)
-SELECT ticker, fiscal_year, round(assets / shares / coalesce(close, last), 6) AS ratio FROM (SELECT b.*, close FROM b ASOF LEFT JOIN p ON b.ticker = p.ticker AND b.pe >= p.d) x JOIN l USING (ticker) WHERE assets / shares / coalesce(close, last) > 10""")
+SELECT ticker, fiscal_year, round(assets / shares / coalesce(close, last), 10) AS ratio FROM (SELECT b.*, close FROM b ASOF LEFT JOIN p ON b.ticker = p.ticker AND b.pe >= p.d) x JOIN l USING (ticker) WHERE assets / shares / coalesce(close, last) > 10""")
 def assets_per_share_over_price(t: Tables) -> DataFrame:
     y = t.yearly()
     shares = y.select("ticker", "fiscal_year", F.make_date(F.col("fiscal_year").cast("int"), F.lit(12), F.lit(31)).alias("period_end"), (F.col("n_orders") * 400000.0).alias("shares"))
     prices = y.filter("fiscal_year >= 1997").select("ticker", F.make_date(F.col("fiscal_year").cast("int"), F.lit(7), F.lit(1)).alias("date"), (F.col("n_orders") * 2.5).alias("close"))
     found = plausibility.over_price(shares, y.select("ticker", "fiscal_year", (F.col("revenue") * 100).alias("assets")), prices, ["ticker", "fiscal_year"])
-    return found.select("ticker", "fiscal_year", r("ratio", 6).alias("ratio"))
+    return found.select("ticker", "fiscal_year", r("ratio", 10).alias("ratio"))
 
 
 @query("""WITH s AS (SELECT p_partkey AS ticker, DATE '1998-01-01' + CAST(p_size AS INT) AS sd, CASE p_partkey % 5 WHEN 0 THEN 0.0 ELSE 2.0 END::DOUBLE AS ratio FROM part), k AS (SELECT p_partkey AS ticker, DATE '1998-01-01' + CAST(p_size + p_partkey % 6 AS INT) AS ex, 2.0::DOUBLE AS ratio FROM part)
