@@ -1,10 +1,10 @@
-"""Checks that report and never repair: splits, reconciliation against presented lines, backtest bias."""
+"""Checks that report and never repair: splits, reconciliation against presented lines, backtest bias, coverage and runs."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.asof import factor_after
@@ -71,3 +71,39 @@ def bias_report(rows: DataFrame, group: str) -> DataFrame:
 def out_of_bounds(summary: DataFrame, cagr: float = 1.0, sharpe: float = 5.0, drawdown: float = -0.95) -> DataFrame:
     """Summaries (cagr, sharpe, max_drawdown) that are not plausible."""
     return summary.filter((F.abs("cagr") > cagr) | (F.abs("sharpe") > sharpe) | (F.col("max_drawdown") < drawdown))
+
+
+def funnel(df: DataFrame, status: str, reason: str) -> DataFrame:
+    """How many rows end in each status, by reason."""
+    return df.groupBy(status, reason).agg(F.count(F.lit(1)).alias("n"))
+
+
+def year_bound(df: DataFrame, year: str, current: Column) -> DataFrame:
+    """One row: the newest year, and FAIL if it lies after ``current``, SKIP without rows, else PASS."""
+    newest = F.max(year)
+    return df.agg(newest.alias("newest"), F.when(newest.isNull(), "SKIP").when(newest > current, "FAIL").otherwise("PASS").alias("verdict"))
+
+
+def synonym_coverage(df: DataFrame, key: str, name: str, year: str, own: str, synonyms: Sequence[str]) -> DataFrame:
+    """Per key: years that ``own`` has, years that it or any synonym has, and the sorted years that only synonyms give."""
+    known = df.filter(F.col(name).isin(own, *synonyms))
+    sets = known.groupBy(key).agg(F.collect_set(F.when(F.col(name) == own, F.col(year))).alias("__own"), F.collect_set(year).alias("__all"))
+    return sets.select(key, F.size("__own").cast("long").alias("own_years"), F.size("__all").cast("long").alias("all_years"), F.array_sort(F.array_except("__all", "__own")).alias("gained"))
+
+
+def worst(df: DataFrame, difference: Column, then: Sequence[Column], n: int = 20) -> DataFrame:
+    """The ``n`` rows with the greatest absolute difference."""
+    return df.orderBy(F.abs(difference).desc_nulls_last(), *then).limit(n)
+
+
+def coverage(scope: DataFrame, present: DataFrame, key: str) -> DataFrame:
+    """One row: distinct keys present, those of them that ``scope`` covers, their share, and whether the scope contains them all."""
+    flagged = present.select(key).distinct().join(scope.select(key, F.lit(True).alias("__in")).distinct(), key, "left")
+    n, had = F.count(F.lit(1)), F.count("__in")
+    return flagged.agg(n.alias("present"), had.alias("covered"), F.when(n > 0, had / n).alias("share"), (had == n).alias("contained"))
+
+
+def run_trend(runs: DataFrame, run: str, started: str, minutes: str, status: str, last: int) -> DataFrame:
+    """The ``last`` runs by start: total minutes, steps, failed and skipped ones."""
+    g = runs.groupBy(run).agg(F.min(started).alias(started), F.sum(minutes).alias("total_minutes"), F.count(F.lit(1)).alias("n_steps"), F.count_if(F.col(status) == "failed").alias("n_failed"), F.count_if(F.col(status) == "skipped").alias("n_skipped"))
+    return g.orderBy(F.desc(started), F.desc(run)).limit(last)

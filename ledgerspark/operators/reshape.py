@@ -30,9 +30,10 @@ def anchored(df: DataFrame, keys: Sequence[str], name: str, period: str, value:
     return widen(df.withColumn("__a", newest).filter(F.col(period) == F.col("__a")), [*keys, period], name, value, names)
 
 
-def resample(df: DataFrame, keys: Sequence[str], time: str, unit: str, value: str, tie: str) -> DataFrame:
-    """The last value of each period."""
-    return df.groupBy(*keys, F.date_trunc(unit, time).alias("period")).agg(F.max_by(value, F.struct(time, tie)).alias(value))
+def resample(df: DataFrame, keys: Sequence[str], time: str, unit: str, value: str, tie: str, carry: Sequence[str] = ()) -> DataFrame:
+    """The last value of each period, and the columns ``carry`` of that same row (an average computed before, not anew)."""
+    last = df.groupBy(*keys, F.date_trunc(unit, time).alias("period")).agg(F.max_by(F.struct(value, *carry), F.struct(time, tie)).alias("__row"))
+    return last.select(*keys, "period", *[F.col(f"__row.{c}").alias(c) for c in (value, *carry)])
 
 
 def ensure_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
