@@ -233,9 +233,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def sample_labelled(docs: DataFrame, labels: DataFrame, usable: Column, config: ToxicityConfig = ToxicityConfig()) -> tuple[list[str], list[int]]:
     """Texts and toxic labels to learn from: of each label a share of its usable rows, by a hash of doc_id.
 
-    The sample's ids are bounded by the config, which is what allows them to be sent to every task.
+    The sample's ids are bounded by the config, which is what allows them to be sent to every task. Repeated rows of an id
+    count once, with its least text, so that copies neither fill the sample nor reach the driver; null ids teach nothing.
     """
-    rows = labels.filter(usable & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    rows = labels.filter(usable & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return [], []
@@ -244,7 +245,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, usable: Column, config:
     cut = F.when(F.col("toxic") == 1, int((1 << 30) * min(1.0, share[1]))).otherwise(int((1 << 30) * min(1.0, share[0])))
     ids = rows.filter(place < cut).orderBy(place, "doc_id", "toxic").limit(2 * (config.toxic_rows + config.clean_rows))
     short = docs.filter(F.length("text") <= config.max_chars).select("doc_id", "text")
-    got = short.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").collect()
+    got = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     got.sort(key=lambda r: (str(r["doc_id"]), r["text"], r["toxic"]))
     return [r["text"] for r in got], [r["toxic"] for r in got]
 

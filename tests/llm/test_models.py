@@ -122,6 +122,13 @@ def test_toxicity_edges_and_spans(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_sample_counts_an_id_once(spark):
+    docs = spark.createDataFrame([(1, "b")] * 300 + [(1, "a"), (2, "c"), (3, None), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 200 + [(2, 0), (3, 0), (None, 1), (9, 1)], "doc_id long, toxic long")
+    assert toxicity.sample_labelled(docs, labels, F.lit(True)) == (["a", "c"], [1, 0])
+    assert toxicity.sample_labelled(docs, labels.limit(0), F.lit(True)) == ([], [])
+
+
 # --- media ---------------------------------------------------------------------------------------------------
 
 
