@@ -124,12 +124,12 @@ def _tokens(texts: list[str], config: ToxicityConfig) -> tuple[np.ndarray, np.nd
     for chunk in chunks(pa.array(texts, pa.large_string())):
         data = fold_case(chunk.data)
         words = find_words(chunk, data, ALNUM)
-        parts.append(features(data, words, config.bits))
+        parts.append(features(data, words, config.bits).astype(np.int32))
         rows.append(words.row + chunk.first)
         bounds.append(_chains(chunk, words, config.max_chain)[:-1] + base)
         base += len(words.start)
     if not parts:
-        return np.zeros((0, 1 + len(PREFIXES)), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        return np.zeros((0, 1 + len(PREFIXES)), np.int32), np.zeros(0, np.int64), np.zeros(1, np.int64)
     return np.concatenate(parts), np.concatenate(rows), np.append(np.concatenate(bounds), base)
 
 
@@ -138,7 +138,11 @@ def label_words(feats: np.ndarray, rows: np.ndarray, toxic: np.ndarray, config:
     n, n_toxic = len(toxic), int(toxic.sum())
     if not n_toxic:
         return np.zeros(len(feats), bool)
-    seen = np.unique(np.repeat(rows, feats.shape[1]) << config.bits | feats.ravel())
+    seen = np.repeat(rows.astype(np.int64), feats.shape[1])  # in place from here on: the driver's memory is bounded
+    seen <<= config.bits
+    seen |= feats.ravel()
+    seen.sort()
+    seen = seen[np.append(True, seen[1:] != seen[:-1])] if len(seen) else seen
     bucket, is_toxic = seen & (1 << config.bits) - 1, toxic[seen >> config.bits]
     hit = np.bincount(bucket[is_toxic], minlength=1 << config.bits)
     miss = np.bincount(bucket[~is_toxic], minlength=1 << config.bits)
